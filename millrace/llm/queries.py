@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components
+from millrace.llm import components, confusables
 from millrace.session import table
 
 
@@ -15,7 +15,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_components(identity.select("a", "b"), "a", "b").select(F.col("id").alias("entity_id"), "group_id")
 
 
-QUERIES = {f.__name__: f for f in (p5_found,)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents stored differently that look the same throughout."""
+    return confusables.same_text(table(spark, sf_dir, "documents"))
+
+
+def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text in its one form."""
+    return confusables.canonical(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
