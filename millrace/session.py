@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,20 @@ def cut(df: DataFrame) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a data folder."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, for clusters on which it is not installed."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):
+        path = os.path.join(tempfile.mkdtemp(prefix="millrace-ship-"), "millrace.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as bundle:
+            for at, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        bundle.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), os.path.dirname(root)))
+        context.addPyFile(path)
+    context._millrace_shipped = True
