@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import ship
+
 # Letters that look alike, as Latin, Cyrillic, Greek ("." where an alphabet has none).
 ALIKE = """
 aа. cс. eе. iі. jј. oоο pр. sѕ. xх. yу. hһ. qԛ. wԝ. dԁ.
@@ -182,6 +184,7 @@ def canonical(docs: DataFrame, key: str = "doc_id", text: str = "text", model: t
     A null text stays null, an empty one empty; texts are read whole. Other columns are not read. The bigram model
     (bounded by the alphabet) is counted over all texts unless given.
     """
+    ship(docs.sparkSession)
     scores, floor = model or bigram_model(docs, text)
     sent = docs.sparkSession.sparkContext.broadcast((scores, floor))
 
