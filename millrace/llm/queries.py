@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables
+from millrace.llm import components, confusables, leakage
 from millrace.session import table
 
 
@@ -15,6 +15,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_components(identity.select("a", "b"), "a", "b").select(F.col("id").alias("entity_id"), "group_id")
 
 
+def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Character spans of documents that hold an evaluation item, wholly or partly."""
+    return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which evaluation items leaked into which documents."""
+    return p9_spans(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents stored differently that look the same throughout."""
     return confusables.same_text(table(spark, sf_dir, "documents"))
@@ -25,7 +35,7 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p10_found, p10_normalized)}
+QUERIES = {f.__name__: f for f in (p5_found, p9_found, p9_spans, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
