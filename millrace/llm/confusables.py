@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import ship
+from millrace.session import cut, ship
 
 # Letters that look alike, as Latin, Cyrillic, Greek ("." where an alphabet has none).
 ALIKE = """
@@ -84,6 +84,8 @@ def _folding() -> dict[int, str | None]:
 
 
 _FOLD = _folding()
+_READ = [{ord(c): x[s] for c, x in OF_CLASS.items() if x[s]} for s in range(3)]
+_LACKS = [{c for c, x in OF_CLASS.items() if not x[s]} for s in range(3)]
 _MARKS = re.compile("[̀-ͯ]")
 
 
@@ -122,6 +124,12 @@ class Reader:
     def _token(self, token: str) -> tuple[str, str, str, int]:
         """Readings of a token after no, Latin and Cyrillic context, and the script it leaves (-1: as before)."""
         words, plain = skeleton(token), [[], [], []]
+        sure = {_script(c) for c in words if c not in OF_CLASS and c.isalpha()}
+        if len(sure) == 1 and not words.isspace() and len(words.split()) == 1:
+            (script,) = sure
+            if not _LACKS[script].intersection(words):  # the only reading without a change of script, so Viterbi's
+                text = words.translate(_READ[script])
+                return text, text, text, script
         left = [-1, LATIN, CYRILLIC]
         fixed = -1
         for piece in re.split(r"(\s+)", words):
@@ -209,7 +217,7 @@ def same_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     Only documents whose form has at least two stored texts reach the pair join, and exact copies never meet in it.
     """
-    marks = canonical(docs, key, text, digests=True).where("form is not null")
+    marks = cut(canonical(docs, key, text, digests=True).where("form is not null"))
     shared = marks.groupBy("form", "raw").agg(F.min(key).alias(key)).groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
     rows = marks.join(shared, "form", "left_semi")
     a = rows.select("form", F.col("raw").alias("raw_a"), F.col(key).alias(f"{key}_a"))
