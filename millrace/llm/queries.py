@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables, leakage
+from millrace.llm import components, confusables, garbled, leakage
 from millrace.session import table
 
 
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every garbled text or name with its original, null where it is lost."""
+    texts = table(spark, sf_dir, "edrsr_records").select(F.lit("edrsr_records.text").alias("field"), F.col("rec_id").alias("row_id"), "text")
+    names = table(spark, sf_dir, "mentions").select(F.lit("mentions.name").alias("field"), F.col("mention_id").alias("row_id"), F.col("name").alias("text"))
+    return garbled.restored(texts.unionByName(names))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled values with the MD5 of their original."""
+    return p4_restored(spark, sf_dir).select("field", "row_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("restored_md5"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group id of every entity that an identity edge joins to a different one."""
     identity = table(spark, sf_dir, "edges").where(F.lower(F.regexp_replace("kind", r"(?U)^\s+|\s+$", "")) == "identity")
@@ -35,7 +47,7 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p9_found, p9_spans, p10_found, p10_normalized)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_restored, p5_found, p9_found, p9_spans, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
