@@ -130,7 +130,7 @@ class Restorer:
     """Undoes a chain inside a value, only where its words are garbled."""
 
     def __init__(self, model: dict[str, float]):
-        self.model = model
+        self.model = model | {k: v for sign in "№–—" for k, v in ((f" {sign}", -3.0), (f"{sign} ", -0.5))}
 
     def _score(self, token: str) -> float:
         word = token.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\r\t")
