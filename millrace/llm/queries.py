@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables, garbled, leakage
+from millrace.llm import components, confusables, garbled, leakage, names
 from millrace.session import table
 
 
@@ -27,6 +27,19 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_components(identity.select("a", "b"), "a", "b").select(F.col("id").alias("entity_id"), "group_id")
 
 
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every named entity with the group of entities that are the same by their written names."""
+    entities = table(spark, sf_dir, "entities")
+    written = entities.where("type = 'name'").select("entity_id", F.col("value").alias("name")).unionByName(entities.select("entity_id", F.col("title").alias("name")))
+    mentioned = table(spark, sf_dir, "mentions").select("entity_id", "name").where("name is not null").distinct().join(entities.select("entity_id"), "entity_id", "left_semi")
+    return names.link(written.unionByName(mentioned))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of entities that are the same person or organisation by their written names."""
+    return names.pairs(p7_groups(spark, sf_dir))
+
+
 def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character spans of documents that hold an evaluation item, wholly or partly."""
     return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -47,7 +60,7 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_restored, p5_found, p9_found, p9_spans, p10_found, p10_normalized)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_restored, p5_found, p7_found, p7_groups, p9_found, p9_spans, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
