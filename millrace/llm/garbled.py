@@ -37,7 +37,10 @@ CHAINS = {
 }
 _UPPER, _LOWER = "А-ЩЬЮЯЄІЇҐ", "а-щьюяєіїґ"
 CLEAN = rf"^«?[{_UPPER}]?[{_LOWER}'’ʼ-]+»?$|^«?[{_UPPER}'’ʼ-]+»?$"
-_ASCII_PUNCTUATION = r"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Rows up to which a side of a join is broadcast; beyond, it is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+_DROP = {ord(c): None for c in _PUNCTUATION + "\n\r\t"}
 #: Letters that prove a garbled word at least.
 LEAST_LETTERS = 4
 #: Cost (natural log) of entering or leaving a garbled passage.
@@ -92,27 +95,39 @@ def restore(text: str, chain: str) -> str | None:
 
 
 def tokens(text: Column) -> Column:
-    """Tokens between ASCII blanks that hold a character beyond ASCII, without ASCII punctuation around them."""
-    bare = F.transform(F.split(text, r"[ \n\r\t]+"), lambda t: F.regexp_replace(t, rf"^{_ASCII_PUNCTUATION}+|{_ASCII_PUNCTUATION}+$", ""))
-    return F.filter(bare, lambda t: t.rlike(r"[^\x00-\x7f]"))
+    """Tokens between ASCII blanks that hold a character beyond ASCII; ASCII punctuation, which no chain changes, left out."""
+    bare = F.translate(text, "\n\r\t" + _PUNCTUATION, "   ")
+    return F.filter(F.split(bare, " "), lambda t: t.rlike(r"[^\x00-\x7f]"))
+
+
+def _tables() -> list[tuple[str, dict[int, str], frozenset[str]]]:
+    """Chain, garbled form of each character of clean words, and those characters that the chain can't write."""
+    alphabet = "".join(chr(c) for c in range(0x410, 0x450)) + "ЄІЇҐєіїґ«»’ʼ'-"
+    out = []
+    for chain in CHAINS:
+        forms = {ord(c): garble(c, chain) for c in alphabet}
+        out.append((chain, {k: v for k, v in forms.items() if v is not None}, frozenset(chr(k) for k, v in forms.items() if v is None)))
+    return out
 
 
 def _forms(words: DataFrame) -> DataFrame:
-    """(token, word, chain, n) for every garbled form of every clean word."""
+    """(token, chain, letters, word_n) for every garbled form of every clean word; every chain garbles letter by letter."""
+    chains, names = _tables(), list(CHAINS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for w in {word, word.upper()}:
-                    for chain in CHAINS:
-                        form = garble(w, chain)
-                        if form is not None and form != w:
-                            out.append((form, w, chain, n))
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())], ["token", "word", "chain", "word_n"])
+            plain, n = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            raised = [(w.upper(), k) for w, k in zip(plain, n, strict=True) if w.upper() != w]
+            words, counts = plain + [w for w, _ in raised], n + [k for _, k in raised]
+            letters = [sum(c.isalpha() for c in w) for w in words]
+            for chain, table, lacks in chains:
+                at = [k for k, w in enumerate(words) if lacks.isdisjoint(w)] if lacks else range(len(words))
+                forms = "\n".join([words[k] for k in at]).translate(table).split("\n") if len(at) else []
+                if len(forms) != len(at):  # a form that holds a line break
+                    forms = [words[k].translate(table) for k in at]
+                yield pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array([names.index(chain)] * len(at), pa.int8()), pa.array([letters[k] for k in at], pa.int32()), pa.array([counts[k] for k in at], pa.int64())], ["token", "chain", "letters", "word_n"])
 
-    return words.select("token", "n").mapInArrow(write, "token string, word string, chain string, word_n long")
+    return words.select("token", "n").mapInArrow(write, "token string, chain byte, letters int, word_n long")
 
 
 def _bigrams(words: DataFrame) -> dict[str, float]:
@@ -133,7 +148,7 @@ class Restorer:
         self.model = model | {k: v for sign in "№–—" for k, v in ((f" {sign}", -3.0), (f"{sign} ", -0.5))}
 
     def _score(self, token: str) -> float:
-        word = token.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\r\t")
+        word = token.translate(_DROP)
         if word.isascii():
             return 0.0
         word = f" {word} "
@@ -163,12 +178,18 @@ def lost(text: Column) -> Column:
     return text.contains("�") | text.rlike(r"\?{4,}|(?:^|[\s«(\"])\?+[»)\",;:]*\s+(?:№?\s*[\d/.,]+\s+)?[«(\"]?\?+(?:[\s».,;:)\"-]|$)")
 
 
+def _bounded(side: DataFrame) -> DataFrame:
+    """A checkpointed side of a join, broadcast if it is small."""
+    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+
+
 def restored(values: DataFrame) -> DataFrame:
     """(field, row_id, restored) of every garbled value; ``values``: field, row_id, text.
 
     ``restored`` is the whole original value, or null where substitutes replaced letters, which are lost. Clean, empty and
     null values give no row; repeated rows repeat their result. (field, row_id) should name one row. All statistics cover
-    all values; the garbled forms are joined by a shuffle, as neither side has a bound.
+    all values; the garbled forms are joined by a shuffle, as
+    neither side has a bound; matches go back to their rows by broadcast up to BROADCAST_ROWS, by a shuffle beyond.
     """
     ship(values.sparkSession)
     gone = lost(F.col("text"))
@@ -176,13 +197,15 @@ def restored(values: DataFrame) -> DataFrame:
     counted = cut(exploded.groupBy("token").agg(F.count("*").alias("n")))
     clean = counted.where(F.col("token").rlike(CLEAN))
     model = _bigrams(clean.where("n > 1"))
-    matched = _forms(clean).join(counted, "token").where(F.col("word_n") > F.col("n"))
+    # both sides go by a 64-bit hash; what a collision might let in is undone strictly later or not at all
+    matched = _forms(clean).select(F.xxhash64("token").alias("h"), "chain", "letters", "word_n").join(counted.select(F.xxhash64("token").alias("h"), "n"), "h").where(F.col("word_n") > F.col("n"))
     # of several readings of a token under one chain the most frequent word proves it
-    evidence = matched.groupBy("token", "chain").agg(F.max(F.struct("word_n", "word")).alias("best")).select("token", "chain", F.length(F.regexp_replace(F.col("best.word"), r"[«»'’ʼ-]", "")).alias("letters"), (F.col("best.word_n")).alias("weight"))
-    evidence = cut(evidence)
-    rows = exploded.join(evidence, "token").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"))
-    rows = rows.where(F.col("letters") >= LEAST_LETTERS).groupBy("field", "row_id").agg(F.max(F.struct("letters", "weight", "chain")).alias("top"), F.sort_array(F.collect_list(F.struct("letters", "weight", "chain")), asc=False)["chain"].alias("chains")).select("field", "row_id", "chains")
-    pending = values.join(rows, ["field", "row_id"]).select("field", "row_id", "text", "chains")
+    evidence = matched.groupBy("h", "chain").agg(F.max(F.struct("word_n", "letters")).alias("best")).select("h", "chain", F.col("best.letters").alias("letters"), F.col("best.word_n").alias("weight"))
+    evidence = _bounded(cut(evidence))
+    rows = exploded.select("field", "row_id", F.xxhash64("token").alias("h")).join(evidence, "h").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"))
+    rows = rows.where(F.col("letters") >= LEAST_LETTERS).groupBy("field", "row_id").agg(F.sort_array(F.collect_list(F.struct("letters", "weight", "chain")), asc=False)["chain"].alias("chains"))
+    pending = values.join(_bounded(cut(rows)), ["field", "row_id"]).select("field", "row_id", "text", "chains")
+    names = list(CHAINS)
 
     def undo(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fix = Restorer(model)
@@ -191,7 +214,7 @@ def restored(values: DataFrame) -> DataFrame:
             for field, row_id, text, chains in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 done = text
                 for chain in chains:
-                    done = fix(done, chain)
+                    done = fix(done, names[chain])
                 if done != text:
                     kept.append((field, row_id, done))
             columns = list(zip(*kept, strict=True)) or [[], [], []]
