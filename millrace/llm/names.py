@@ -126,6 +126,8 @@ SHORT = """
 # Legal forms, short and in full.
 FORMS = {"тов": "товариство з обмеженою відповідальністю", "пп": "приватне підприємство", "прат": "приватне акціонерне товариство", "пат": "публічне акціонерне товариство", "ат": "акціонерне товариство", "фг": "фермерське господарство", "кп": "комунальне підприємство", "дп": "державне підприємство", "го": "громадська організація", "бф": "благодійний фонд", "тдв": "товариство з додатковою відповідальністю", "сфг": "селянське фермерське господарство"}
 FORMS_LATIN = ("llc", "ltd", "co", "inc", "jsc", "corp", "pe")
+# Letter pairs that Latin spellings can't tell from one letter.
+MERGED = [("зг", "ж"), ("кг", "х"), ("тс", "ц"), ("сг", "ш"), ("шч", "щ"), ("іа", "я"), ("іе", "є"), ("іу", "ю")]
 _PATRONYMIC = re.compile(r"(ович|евич|івна|овна|евна|ївна|ична|лліч)$")
 _NEAR_PATRONYMIC = re.compile(r"(ов.?и.?ч|о.ич|ов.ч|овии?ч|овчи|воич|ови|вич|івн|і.на|ів.?н.?а|вна|іна|ївн.?)$")
 
@@ -148,12 +150,20 @@ def letters(word: str) -> str:
     return word.translate(MIXED)
 
 
+def merged(word: str) -> str:
+    """The word as it would be read back from a Latin spelling."""
+    for pair, one in MERGED:
+        word = word.replace(pair, one)
+    return word
+
+
 def _short_forms() -> dict[str, frozenset[str]]:
     out: dict[str, set[str]] = {}
     for line in SHORT.strip().splitlines():
         full, _, forms = line.partition(": ")
         for form in (full, *forms.split()):
-            out.setdefault(letters(form), set()).add(letters(full))
+            for spelt in {letters(form), merged(letters(form))}:
+                out.setdefault(spelt, set()).add(letters(full))
     return {k: frozenset(v) for k, v in out.items()}
 
 
@@ -224,7 +234,7 @@ class Parser:
                 if w in _LEGAL_SHORT or w in _LEGAL_WORDS or w == letters("з") or (short and len(w) >= 3 and any(x.startswith(w) for x in _LEGAL_WORDS) and not core and (quoted or legal)):
                     continue
                 core.append(w + "." if short else w)
-            return ("o", *sorted(core)) if core else ("o", *sorted(plain))
+            return ("o", *(core or plain))
         if "," in pieces and pieces.index(",") == 1 and len(words) >= 2:
             return self._person(words[0][0], words[1:])
         full = [k for k, (_, short) in enumerate(words) if not short]
@@ -297,12 +307,15 @@ class Judge:
         return self._typo(x, y)
 
     def surname(self, a: str, b: str) -> bool:
-        if a == b or (min(len(a), len(b)) >= 5 and near(a, b)):
+        if a == b or merged(a) == merged(b) or (min(len(a), len(b)) >= 5 and near(a, b)):
             return True
         x, y = a.split("-"), b.split("-")
         return (len(x) > 1) != (len(y) > 1) and any(p == q or (min(len(p), len(q)) >= 5 and near(p, q)) for p in x for q in y)
 
     def _core(self, a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+        x, y = (re.sub("[-.]", "", "".join(words)) for words in (a, b))
+        if x == y or (min(len(x), len(y)) >= 8 and not any(w.endswith(".") for w in a + b) and len(a) != len(b) and near(x, y)):
+            return True  # the same words, joined or parted
         if len(a) != len(b):
             return False
         left, errors = list(b), 0
@@ -312,7 +325,7 @@ class Judge:
                 if word.endswith(".") or other.endswith("."):
                     fits = min(len(x), len(y)) >= 3 and (x.startswith(y) or y.startswith(x))
                 else:
-                    fits = x == y or (min(len(x), len(y)) >= 5 and self._typo(x, y))
+                    fits = merged(x) == merged(y) or (min(len(x), len(y)) >= 5 and self._typo(x, y))
                     errors += x != y if fits else 0
                 if fits:
                     del left[k]
@@ -360,9 +373,10 @@ def _blocks(parsed: tuple[str, ...], firm: set[str]) -> list[tuple[str, str]]:
     if parsed[0] == "o":
         words = parsed[1:]
         heads = [w for w in words if not w.endswith(".") and w not in firm] or list(words)
-        return [(h.rstrip("."), "o" + str(len(words)) + (min((w for w in words if w != h), default="")[:3] if len(words) == 2 else "")) for h in heads]
+        joined = [(re.sub("[-.]", "", "".join(words)), "c")]
+        return joined + [(x, part) for h, part in ((h.rstrip("."), "o" + str(len(words)) + (min((w for w in words if w != h), default="")[:3] if len(words) == 2 else "")) for h in heads) for x in {h, merged(h)}]
     out = []
-    for surname in dict.fromkeys((parsed[1], *(parsed[1].split("-") if "-" in parsed[1] else ()))):
+    for surname in dict.fromkeys(x for s in (parsed[1], *(parsed[1].split("-") if "-" in parsed[1] else ())) for x in (s, merged(s))):
         given, patronymic = parsed[2].rstrip("."), parsed[3].rstrip(".")
         forms = GIVEN_OF.get(given, frozenset((given,))) if not parsed[2].endswith(".") else frozenset()
         out += [(surname, "g" + g) for g in forms if g]
@@ -474,7 +488,7 @@ def _lexicons(written: DataFrame) -> tuple[dict[str, int], dict[str, int], set[s
     common = {k: v for k, v in of("g").items()}
     top = max(common.values(), default=1)
     given = {k: v for k, v in common.items() if v >= max(3, top * 0.05)}
-    return given, of("p"), {k for k, v in of("f").items() if v >= 3}
+    return given, of("p"), {k for k, v in of("f").items() if v >= 3 and len(k) > 2}
 
 
 def pairs(groups: DataFrame, key: str = "entity_id") -> DataFrame:
