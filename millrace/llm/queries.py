@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables, garbled, leakage, names
+from millrace.llm import components, confusables, garbled, leakage, names, pii
 from millrace.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct passages of personal data in each record's text."""
+    records = table(spark, sf_dir, "edrsr_records").select("rec_id", "text")
+    return pii.passages(records, "rec_id").select("rec_id", "pii_type", "pii_text").distinct()
+
+
+def p2_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's text with typed placeholders instead of personal data."""
+    return pii.placeholders(table(spark, sf_dir, "edrsr_records").select("rec_id", "text"))
+
+
+def p2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's text with keyed surrogates instead of personal data; the key comes from spark.millrace.secret."""
+    secret = spark.conf.get("spark.millrace.secret", "a key for tests only").encode()
+    return pii.surrogates(table(spark, sf_dir, "edrsr_records").select("rec_id", "text"), "rec_id", secret)
+
+
 def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every garbled text or name with its original, null where it is lost."""
     texts = table(spark, sf_dir, "edrsr_records").select(F.lit("edrsr_records.text").alias("field"), F.col("rec_id").alias("row_id"), "text")
@@ -60,7 +77,7 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_restored, p5_found, p7_found, p7_groups, p9_found, p9_spans, p10_found, p10_normalized)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p9_found, p9_spans, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
