@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import HEAVY_SHARE, heavy_keys, join_unique
+from millrace.operators.skew import HEAVY_SHARE
 from millrace.session import cut
 
 
-def _with_least(pairs: DataFrame, share: float) -> DataFrame:
-    """``pairs`` (u, v) with ``m``, the least of u and all its v; hubs of u get theirs by broadcast, their rows unmoved."""
+def _with_least(pairs: DataFrame, share: float, total: int) -> DataFrame:
+    """``pairs`` (u, v) with ``m``, the least of u and all its v; hubs of u get theirs by broadcast, their rows unmoved.
+
+    A hub has ``share`` of ``total`` pairs or more, so there are at most 1/share of them.
+    """
     stats = cut(pairs.groupBy("u").agg(F.count("*").alias("n"), F.least(F.min("v"), F.first("u")).alias("m")))
-    least, heavy = stats.select("u", "m"), cut(heavy_keys(stats.select("u", "n"), "u", share=share))
-    return pairs.join(least, "u") if heavy.isEmpty() else join_unique(pairs, least, "u", heavy, "inner")
+    least, hubs = stats.select("u", "m"), stats.where(F.col("n") >= max(2, total * share)).select("u", "m")
+    if hubs.isEmpty():
+        return pairs.join(least, "u")
+    few = F.broadcast(cut(hubs))
+    return pairs.join(few, "u").unionByName(pairs.join(few, "u", "left_anti").join(least, "u"))
 
 
-def _large_star(edges: DataFrame, share: float) -> DataFrame:
+def _large_star(edges: DataFrame, share: float, total: int) -> DataFrame:
     """Each node links its larger neighbours to its least neighbour (or itself)."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both, share).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    return _with_least(both, share, 2 * total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame, share: float) -> DataFrame:
+def _small_star(edges: DataFrame, share: float, total: int) -> DataFrame:
     """Each node links its smaller neighbours and itself to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    starred = _with_least(down, share)
+    starred = _with_least(down, share, total)
     linked = starred.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(starred.select("u", F.col("m").alias("v")))
     return linked.where("u != v").distinct()
 
@@ -46,7 +52,7 @@ def connected_components(pairs: DataFrame, a: str, b: str, share: float = HEAVY_
     edges = cut(edges)
     seen = _print(edges)
     for _ in range(most_rounds):
-        edges = cut(_small_star(cut(_large_star(edges, share)), share))
+        edges = cut(_small_star(cut(_large_star(edges, share, seen[0])), share, seen[0]))
         now = _print(edges)
         if now == seen:
             break

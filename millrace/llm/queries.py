@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables, garbled, leakage, names, pii
+from millrace.llm import components, confusables, garbled, leakage, names, packing, pii
 from millrace.session import table
 
 
@@ -57,6 +57,16 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.pairs(p7_groups(spark, sf_dir))
 
 
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a container of 2,048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.fill(p8_packed(spark, sf_dir))
+
+
 def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character spans of documents that hold an evaluation item, wholly or partly."""
     return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -77,7 +87,7 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p9_found, p9_spans, p10_found, p10_normalized)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p8_packed, p8_fill, p9_found, p9_spans, p10_found, p10_normalized)}
 
 SQL = {
     "p5_found": """
