@@ -109,7 +109,7 @@ def name_score(x: Column, y: Column) -> Column:
     both, one = (F.size(x) > 2) & (F.size(y) > 2), (F.size(x) > 2) | (F.size(y) > 2)
     base = F.lit(0.5) + F.lit(0.35) * given
     score = F.when(both, base + F.lit(0.15) * patronymic).when(one, base + F.lit(0.05)).otherwise(base)
-    return F.when((F.size(x) >= 2) & (F.size(y) >= 2) & (F.get(x, F.lit(0)) == F.get(y, F.lit(0))), F.least(score, F.lit(1.0)))
+    return F.when((F.size(x) >= 2) & (F.size(y) >= 2) & (F.get(x, F.lit(0)) == F.get(y, F.lit(0))) & score.isNotNull(), F.least(score, F.lit(1.0)))
 
 
 def html_to_text(page: Column) -> Column:
