@@ -27,10 +27,13 @@ BLOCK_ITEMS = 2_000
 #: Every SAMPLE-th suffix position is kept.
 SAMPLE = 4
 _NOT_WORD = re.compile(r"[^\w№]+|_")
+# Small letters whose capitals look like another alphabet's, and that alphabet's small letter.
+_CAPITALS_ALIKE = str.maketrans("внмткζν", "bhmtkzn")
 
 
 def plain_word(token: str) -> str:
-    return _NOT_WORD.sub("", skeleton(token).lower())
+    """A word without case, punctuation, look-alike and invisible characters; '' for what is no word."""
+    return _NOT_WORD.sub("", skeleton(token).lower()).translate(_CAPITALS_ALIKE)
 
 
 def plain_words(text: str) -> list[str]:

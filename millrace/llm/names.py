@@ -460,7 +460,9 @@ def link(names: DataFrame, key: str = "entity_id", name: str = "name") -> DataFr
     joined = own.join(first, "id").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     edges = sure.unionByName(fits.where("n = 1").select(F.col("short").alias("a"), F.col("node").alias("b"))).unionByName(open_.select("a", "b")).unionByName(joined)
     found = connected_components(edges, "a", "b").select(F.col("id").alias("first"), "group_id")
-    return first.join(found, "first", "left").select(F.col("id").alias(key), F.coalesce("group_id", "first").alias("group"))
+    grouped = first.join(found, "first", "left").select(F.col("id").alias(key), F.coalesce("group_id", "first").alias("group"))
+    alone = nodes.select("id").distinct().join(first, "id", "left_anti")  # all its names fit several persons: a group of its own
+    return grouped.unionByName(alone.select(F.col("id").alias(key), F.concat(F.lit("?"), F.col("id").cast("string")).alias("group")))
 
 
 def _lexicons(written: DataFrame) -> tuple[dict[str, int], dict[str, int], set[str]]:
