@@ -196,12 +196,12 @@ def restored(values: DataFrame) -> DataFrame:
     exploded = values.where(F.col("text").rlike(r"[^\x00-\x7f]") & ~gone).select("field", "row_id", F.explode(tokens(F.col("text"))).alias("token"))
     counted = cut(exploded.groupBy("token").agg(F.count("*").alias("n")))
     clean = counted.where(F.col("token").rlike(CLEAN))
-    model = _bigrams(clean.where("n > 1"))
     # both sides go by a 64-bit hash; what a collision might let in is undone strictly later or not at all
     matched = _forms(clean).select(F.xxhash64("token").alias("h"), "chain", "letters", "word_n").join(counted.select(F.xxhash64("token").alias("h"), "n"), "h").where(F.col("word_n") > F.col("n"))
     # of several readings of a token under one chain the most frequent word proves it
     evidence = matched.groupBy("h", "chain").agg(F.max(F.struct("word_n", "letters")).alias("best")).select("h", "chain", F.col("best.letters").alias("letters"), F.col("best.word_n").alias("weight"))
     evidence = _bounded(cut(evidence))
+    model = _bigrams(clean.where("n > 1").withColumn("h", F.xxhash64("token")).join(evidence.select("h"), "h", "left_anti"))
     rows = exploded.select("field", "row_id", F.xxhash64("token").alias("h")).join(evidence, "h").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"))
     rows = rows.where(F.col("letters") >= LEAST_LETTERS).groupBy("field", "row_id").agg(F.sort_array(F.collect_list(F.struct("letters", "weight", "chain")), asc=False)["chain"].alias("chains"))
     pending = values.join(_bounded(cut(rows)), ["field", "row_id"]).select("field", "row_id", "text", "chains")
