@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.session import cut
 
 
 def _given(value: Column) -> Column:
@@ -52,7 +53,7 @@ def numbered(rows: DataFrame, order: str, out: str = "n") -> DataFrame:
     Rows are spread by range and sorted there; the counts of the ranges before give each range its offset.
     """
     spread = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
-    spread = spread.persist()
+    spread = cut(spread)  # so that a lost executor can't change which rows a part holds
     sizes = spread.groupBy("__part").agg(F.count("*").alias("c"), F.min("__at").alias("__first")).orderBy("__part").collect()  # one row a partition
     offset, rows_ = 0, []
     for r in sizes:
