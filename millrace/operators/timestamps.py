@@ -130,7 +130,9 @@ def normalize(df: DataFrame, column: str, out: str, form: str = "instant", sourc
     zone = F.coalesce(F.element_at(_lookup(dict(zones)), F.col(source)), F.lit(default_zone)) if source and zones else F.lit(default_zone)
     at = F.col("__ts_instant")
     made = with_instant(df, column, "__ts_instant", zone, **policy)
-    return made.withColumn(out, utc_text(at) if form == "instant" else local_date_text(at, default_zone)).drop("__ts_instant")
+    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
+    # a generator is a barrier: a filter on the result would else be pushed down with the whole cascade written out once more a step
+    return made.select(*kept, F.explode(F.array(utc_text(at) if form == "instant" else local_date_text(at, default_zone))).alias(out))
 
 
 def unusual(df: DataFrame, key: str, column: str, form: str, field: str, **how) -> DataFrame:
@@ -138,5 +140,4 @@ def unusual(df: DataFrame, key: str, column: str, form: str, field: str, **how)
     there = r"^\d{4}-\d{2}-\d{2}$" if form == "date" else r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
     open_rows = df.where(F.col(column).isNotNull() & ~F.col(column).rlike(there))
     done = normalize(open_rows, column, "__norm", form, **how)
-    # explode, not a filter on the result: a filter would be pushed down with the whole cascade written out once more a step
-    return done.select(F.lit(field).alias("field"), F.col(key).cast("string").alias("row_key"), F.explode(F.array_compact(F.array("__norm"))).alias("norm_value"))
+    return done.where("__norm is not null").select(F.lit(field).alias("field"), F.col(key).cast("string").alias("row_key"), F.col("__norm").alias("norm_value"))
