@@ -67,3 +67,12 @@ def ship(spark: SparkSession) -> None:
                         bundle.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), os.path.dirname(root)))
         context.addPyFile(path)
     context._millrace_shipped = True
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what earlier rounds of an iteration left.
+
+    Shuffle files and checkpoints are deleted once the driver's collector finds their owners gone; a driver with a large
+    heap may not look for hours, and an iteration would fill the disks meanwhile.
+    """
+    spark.sparkContext._jvm.System.gc()
