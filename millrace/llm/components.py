@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import HEAVY_SHARE
-from millrace.session import cut
+from millrace.session import cut, release
 
 
 def _with_least(pairs: DataFrame, share: float, total: int) -> DataFrame:
@@ -57,6 +57,7 @@ def connected_components(pairs: DataFrame, a: str, b: str, share: float = HEAVY_
         if now == seen:
             break
         seen = now
+        release(pairs.sparkSession)
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("group_id"))
