@@ -206,6 +206,7 @@ class Parser:
     def __init__(self, given: dict[str, int], patronymic: dict[str, int], firm: set[str]):
         self.given, self.patronymic, self.firm = given, patronymic, firm
         self.close: dict[str, bool] = {}
+        self.right: dict[tuple[str, bool], str] = {}
 
     def _is_given(self, word: str) -> bool:
         if word in self.given or word in GIVEN_OF:
@@ -258,11 +259,21 @@ class Parser:
         score = 2.0 if given in self.given or given in GIVEN_OF else 1.0 if self._is_given(given) else 0.0
         return score + (2.0 if patronymic in self.patronymic else 1.5 if _PATRONYMIC.search(patronymic) else 1.0 if _NEAR_PATRONYMIC.search(patronymic) else 0.0)
 
-    @staticmethod
-    def _person(surname: str, rest: list[tuple[str, bool]]) -> tuple[str, ...]:
-        parts = [w + "." if short else w for w, short in rest[:2]] + ["", ""]
+    def _person(self, surname: str, rest: list[tuple[str, bool]]) -> tuple[str, ...]:
+        parts = [w + "." if short else self._corrected(w, bool(k)) for k, (w, short) in enumerate(rest[:2])] + ["", ""]
         return ("p", surname, parts[0], parts[1])
 
+    def _corrected(self, word: str, patronymic: bool) -> str:
+        """A rare given name or patronymic as the common one it is a typing error of, if there is one."""
+        known = self.patronymic if patronymic else self.given
+        if len(word) < 4 or (not patronymic and word in GIVEN_OF):
+            return word
+        if (word, patronymic) not in self.right:
+            often = known.get(word, 0)
+            meant = [(n, w) for w, n in known.items() if often < RIVAL * n and abs(len(w) - len(word)) <= EDITS and near(w, word)]
+            self.right[word, patronymic] = max(meant)[1] if meant else word
+        return self.right[word, patronymic]
+
 
 def _alphabet(ch: str) -> str:
     return "c" if "Ѐ" <= ch <= "ӿ" and ch.upper() in "АБВГҐДЕЄЖЗИІЇЙКЛМНОПРСТУФХЦЧШЩЬЮЯЫЭЪЁ" else "l" if ch.isascii() else "?"
@@ -310,7 +321,11 @@ class Judge:
         if a == b or merged(a) == merged(b) or (min(len(a), len(b)) >= 5 and near(a, b)):
             return True
         x, y = a.split("-"), b.split("-")
-        return (len(x) > 1) != (len(y) > 1) and any(p == q or (min(len(p), len(q)) >= 5 and near(p, q)) for p in x for q in y)
+        return (len(x) > 1) != (len(y) > 1) and any(merged(p) == merged(q) or (min(len(p), len(q)) >= 5 and near(p, q)) for p in x for q in y)
+
+    def backed(self, a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+        """Whether two full names that one short form fits may be the same: twice the errors in the surname, none elsewhere."""
+        return a[0] == b[0] == "p" and a[3] == b[3] and self.forms(a[2], a[2]) & self.forms(b[2], b[2]) != frozenset() and min(len(a[1]), len(b[1])) >= 6 and near(a[1], b[1], 2 * EDITS)
 
     def _core(self, a: tuple[str, ...], b: tuple[str, ...]) -> bool:
         x, y = (re.sub("[-.]", "", "".join(words)) for words in (a, b))
@@ -446,9 +461,20 @@ def link(names: DataFrame, key: str = "entity_id", name: str = "name") -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.bool_()), pa.array(columns[3], pa.bool_())], ["a", "b", "a_full", "b_full"])
 
     links = cut(pairs.mapInArrow(verify, "a string, b string, a_full boolean, b_full boolean"))
-    sure = links.where("a_full and b_full").select("a", "b")
-    group = cut(connected_components(sure, "a", "b").select(F.col("id").alias("node"), F.col("group_id").alias("group")))
     halves = links.where("a_full != b_full").select(F.when(F.col("a_full"), F.col("b")).otherwise(F.col("a")).alias("short"), F.when(F.col("a_full"), F.col("a")).otherwise(F.col("b")).alias("node"))
+
+    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge({})
+        for batch in batches:
+            rows = [(a, b) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if judge.backed(tuple(a.split("|")), tuple(b.split("|")))]
+            columns = list(zip(*rows, strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string())], ["a", "b"])
+
+    # full names that one short form fits, with the same patronymic: only such are looked at twice
+    same = halves.where(F.startswith("node", F.lit("p|"))).select("short", "node", F.element_at(F.split("node", "[|]"), -1).alias("patronymic"))
+    twice = same.select("short", "patronymic", F.col("node").alias("a")).join(same.select("short", "patronymic", F.col("node").alias("b")), ["short", "patronymic"]).where("a < b").select("a", "b").distinct()
+    sure = cut(links.where("a_full and b_full").select("a", "b").unionByName(twice.mapInArrow(back, "a string, b string")))
+    group = cut(connected_components(sure, "a", "b").select(F.col("id").alias("node"), F.col("group_id").alias("group")))
     fits = halves.join(group, "node", "left").select("short", "node", F.coalesce("group", "node").alias("group"))
     fits = cut(fits.groupBy("short").agg(F.countDistinct("group").alias("n"), F.min("node").alias("node")))
     doubtful = fits.where("n > 1").select(F.col("short").alias("node"))
