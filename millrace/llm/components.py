@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import HEAVY_SHARE
-from millrace.session import cut, release
+from millrace.session import cut, cut_observed, release
 
 
 def _with_least(pairs: DataFrame, share: float, total: int) -> DataFrame:
@@ -14,11 +14,12 @@ def _with_least(pairs: DataFrame, share: float, total: int) -> DataFrame:
 
     A hub has ``share`` of ``total`` pairs or more, so there are at most 1/share of them.
     """
-    stats = cut(pairs.groupBy("u").agg(F.count("*").alias("n"), F.least(F.min("v"), F.first("u")).alias("m")))
-    least, hubs = stats.select("u", "m"), stats.where(F.col("n") >= max(2, total * share)).select("u", "m")
-    if hubs.isEmpty():
+    grouped = pairs.groupBy("u").agg(F.count("*").alias("n"), F.least(F.min("v"), F.first("u")).alias("m"))
+    stats, seen = cut_observed(grouped, most=F.max("n"))
+    least, bound = stats.select("u", "m"), max(2, total * share)
+    if (seen["most"] or 0) < bound:
         return pairs.join(least, "u")
-    few = F.broadcast(cut(hubs))
+    few = F.broadcast(cut(stats.where(F.col("n") >= bound).select("u", "m")))
     return pairs.join(few, "u").unionByName(pairs.join(few, "u", "left_anti").join(least, "u"))
 
 
@@ -36,9 +37,10 @@ def _small_star(edges: DataFrame, share: float, total: int) -> DataFrame:
     return linked.where("u != v").distinct()
 
 
-def _print(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges checkpointed, with their number and the sum of their hashes."""
+    done, seen = cut_observed(edges, n=F.count("*"), h=F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")))
+    return done, (seen["n"], int(seen["h"] or 0))
 
 
 def connected_components(pairs: DataFrame, a: str, b: str, share: float = HEAVY_SHARE, most_rounds: int = 60) -> DataFrame:
@@ -49,11 +51,9 @@ def connected_components(pairs: DataFrame, a: str, b: str, share: float = HEAVY_
     edge set no longer changes (checked by row count and a sum of hashes), which is a forest of stars at the minima.
     """
     edges = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    edges = cut(edges)
-    seen = _print(edges)
+    edges, seen = _marked(edges)
     for _ in range(most_rounds):
-        edges = cut(_small_star(cut(_large_star(edges, share, seen[0])), share, seen[0]))
-        now = _print(edges)
+        edges, now = _marked(_small_star(cut(_large_star(edges, share, seen[0])), share, seen[0]))
         if now == seen:
             break
         seen = now
