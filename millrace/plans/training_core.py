@@ -90,7 +90,38 @@ found AS (
   WHERE r.key IS NOT NULL AND r.key <> '' AND (t.key IS NULL OR t.since > r.day))
 """
 
+_INSTANTS = r"""
+WITH v AS (
+  SELECT 'decision_date' AS field, cast(rec_id AS VARCHAR) AS row_key, decision_date AS val FROM edrsr_records WHERE NOT regexp_matches(decision_date, '^\d{4}-\d{2}-\d{2}$')
+  UNION ALL SELECT 'publication_date', cast(rec_id AS VARCHAR), publication_date FROM edrsr_records WHERE NOT regexp_matches(publication_date, '^\d{4}-\d{2}-\d{2}$')
+  UNION ALL SELECT DISTINCT 'retrieved_at', record_id, retrieved_at FROM provenance WHERE NOT regexp_matches(retrieved_at, '^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$')),
+z AS (SELECT *, regexp_extract(val, '(?:(?::\d{2}(?:\.\d+)?|T\d{6})\s?)(Z|UTC|GMT|EET|EEST|[+-]\d{2}:?\d{2}|Europe/Kiev|Europe/Kyiv)$', 1) AS mark FROM v),
+b AS (SELECT *, rtrim(val[:length(val) - length(mark)]) AS body FROM z),
+h AS (SELECT *, regexp_extract(body, ' (AM|PM)$', 1) AS half, regexp_replace(regexp_replace(body, ' (AM|PM)$', ''), '^(\d{8})T?(\d{2})(\d{2})(\d{2})$', '\1 \2:\3:\4') AS plain FROM b),
+t AS (SELECT *, regexp_extract(plain, '[T ](\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)$', 1) AS clock, regexp_replace(plain, '[T ](\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)$', '') AS d FROM h),
+m AS (SELECT *, list_position(['січ', 'лют', 'бер', 'кві', 'тра', 'чер', 'лип', 'сер', 'вер', 'жов', 'лис', 'гру', 'jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'],
+  lower(coalesce(nullif(regexp_extract(d, '^\d{1,2} ([а-яіїє]{3})', 1), ''), nullif(regexp_extract(d, '^([A-Z][a-z]{2}) \d', 1), ''), regexp_extract(d, ' ([A-Z][a-z]{2}) \d{4}$', 1)))) AS mon FROM t),
+y AS (SELECT *, CASE
+  WHEN regexp_matches(d, '^\d{4}([-/.])\d{1,2}[-/.]\d{1,2}$') THEN regexp_replace(d, '^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$', '\1-\2-\3')
+  WHEN regexp_matches(d, '^\d{1,2}[-/.]\d{1,2}[-/.]\d{4}$') THEN regexp_replace(d, '^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$', '\3-\2-\1')
+  WHEN regexp_matches(d, '^\d{1,2}[-/.]\d{1,2}[-/.]\d{2}$') THEN regexp_replace(d, '^(\d{1,2})[-/.](\d{1,2})[-/.](\d{2})$', '20\3-\2-\1')
+  WHEN regexp_matches(d, '^\d{8}$') THEN regexp_replace(d, '^(\d{4})(\d{2})(\d{2})$', '\1-\2-\3')
+  WHEN regexp_matches(d, '^[A-Z][a-z]{2} \d{1,2}, \d{4}$') THEN regexp_replace(d, '^[A-Z][a-z]{2} (\d{1,2}), (\d{4})$', '\2-') || ((mon - 1) % 12 + 1) || '-' || regexp_extract(d, ' (\d{1,2}),', 1)
+  WHEN regexp_matches(d, '^\d{1,2} [а-яіїє]+\.? \d{4}( року| р\.)?$') THEN regexp_extract(d, '(\d{4})', 1) || '-' || mon || '-' || regexp_extract(d, '^(\d{1,2})', 1)
+  WHEN regexp_matches(d, '^[A-Z][a-z]{2}, \d{2} [A-Z][a-z]{2} \d{4}$') THEN regexp_extract(d, '(\d{4})$', 1) || '-' || ((mon - 1) % 12 + 1) || '-' || regexp_extract(d, ' (\d{2}) ', 1) END AS ymd FROM m),
+p AS (SELECT *, string_split(ymd, '-') AS s, CASE WHEN clock = '' THEN '00:00:00' WHEN regexp_matches(clock, '^\d{1,2}:\d{2}$') THEN clock || ':00' ELSE regexp_replace(clock, '(\.\d{6})\d+$', '\1') END AS hms FROM y),
+l AS (SELECT *, try_cast(s[1] || '-' || lpad(s[2], 2, '0') || '-' || lpad(s[3], 2, '0') || ' ' || hms AS TIMESTAMP) + CASE WHEN half = 'PM' AND NOT starts_with(hms, '12') THEN to_hours(12) WHEN half = 'AM' AND starts_with(hms, '12') THEN to_hours(-12) ELSE to_hours(0) END AS local FROM p),
+k AS (SELECT *, CASE WHEN mark IN ('Z', 'UTC', 'GMT') THEN 0 WHEN mark = 'EET' THEN 120 WHEN mark = 'EEST' THEN 180
+  WHEN regexp_matches(mark, '^[+-]') THEN (CASE WHEN mark[1] = '-' THEN -1 ELSE 1 END) * (cast(mark[2:3] AS INT) * 60 + cast(mark[-2:] AS INT)) END AS off FROM l),
+u AS (SELECT *, timezone('Europe/Kyiv', local) AS there FROM k),
+i AS (SELECT field, row_key, CASE WHEN regexp_matches(val, '^\d{10}$') THEN make_timestamp(cast(val AS BIGINT) * 1000000) WHEN regexp_matches(val, '^\d{13}$') THEN make_timestamp(cast(val AS BIGINT) * 1000)
+  WHEN off IS NOT NULL THEN local - to_minutes(off)
+  WHEN timezone('Europe/Kyiv', there - INTERVAL 1 HOUR) = local THEN timezone('UTC', there - INTERVAL 1 HOUR) ELSE timezone('UTC', there) END AS inst FROM u)
+SELECT field, row_key, CASE WHEN field = 'retrieved_at' THEN strftime(inst, '%Y-%m-%dT%H:%M:%S.%fZ') ELSE strftime(timezone('Europe/Kyiv', timezone('UTC', inst)), '%Y-%m-%d') END AS norm_value FROM i WHERE inst IS NOT NULL
+"""
+
 SQL = {
+    "p1_found": _INSTANTS,
     "p3_found": """
 SELECT field, key_id FROM (
   SELECT 'mentions.entity_id' AS field, entity_id AS key_id, count(*) AS n, (SELECT count(*) FROM mentions) AS total FROM mentions GROUP BY entity_id
