@@ -89,7 +89,20 @@ def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p8_packed, p8_fill, p9_found, p9_spans, p10_found, p10_normalized)}
 
+
+
+def _fold_sql(column: str) -> str:
+    """The look-alike folding as SQL: one translation, characters without counterpart deleted."""
+    pairs = [(chr(k), v) for k, v in confusables._FOLD.items() if k < 0x10000 and (v is None or len(v) == 1)]
+    pairs.sort(key=lambda x: x[1] is None)
+    quote = lambda x: x.replace("'", "''")
+    return f"translate({column}, '{quote(''.join(k for k, _ in pairs))}', '{quote(''.join(v for _, v in pairs if v))}')"
+
+
 SQL = {
+    "p10_found": f"""
+WITH f AS (SELECT doc_id, text, {_fold_sql(f"nfc_normalize({_fold_sql('text')})")} AS form FROM documents WHERE text IS NOT NULL)
+SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.form = b.form AND a.text <> b.text AND a.doc_id < b.doc_id""",
     "p5_found": """
 WITH RECURSIVE e AS (
   SELECT a AS u, b AS v FROM edges WHERE lower(trim(kind)) = 'identity' AND a <> b
