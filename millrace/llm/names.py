@@ -23,6 +23,8 @@ from millrace.session import cut, ship
 EDITS = 1
 #: A word of a lexicon has this share of all names at least, so a lexicon has at most 1 / share words.
 LEXICON_SHARE = 2e-5
+#: Words a worker remembers before it starts anew.
+REMEMBER = 200_000
 #: Two spellings that are both this common, relative to each other, are different words and not a typing error.
 RIVAL = 0.2
 
@@ -207,6 +209,18 @@ class Parser:
         self.given, self.patronymic, self.firm = given, patronymic, firm
         self.close: dict[str, bool] = {}
         self.right: dict[tuple[str, bool], str] = {}
+        self.segments: dict[bool, dict[str, list[str]]] = {}
+
+    def _near(self, word: str, patronymic: bool) -> set[str]:
+        """Words of a lexicon within EDITS of a word, through the same segments as the names themselves."""
+        if patronymic not in self.segments:
+            index: dict[str, list[str]] = {}
+            for known in self.patronymic if patronymic else self.given:
+                for at in index_keys(known):
+                    index.setdefault(at, []).append(known)
+            self.segments[patronymic] = index
+        index = self.segments[patronymic]
+        return {w for at in probe_keys(word) for w in index.get(at, ()) if near(w, word)}
 
     def _is_given(self, word: str) -> bool:
         if word in self.given or word in GIVEN_OF:
@@ -214,7 +228,9 @@ class Parser:
         if len(word) < 4:
             return False
         if word not in self.close:
-            self.close[word] = any(abs(len(g) - len(word)) <= 1 and near(g, word) for g in self.given)
+            if len(self.close) > REMEMBER:
+                self.close.clear()
+            self.close[word] = bool(self._near(word, False))
         return self.close[word]
 
     def parse(self, name: str) -> tuple[str, ...] | None:
@@ -269,8 +285,10 @@ class Parser:
         if len(word) < 4 or (not patronymic and word in GIVEN_OF):
             return word
         if (word, patronymic) not in self.right:
+            if len(self.right) > REMEMBER:
+                self.right.clear()
             often = known.get(word, 0)
-            meant = [(n, w) for w, n in known.items() if often < RIVAL * n and abs(len(w) - len(word)) <= EDITS and near(w, word)]
+            meant = [(known[w], w) for w in self._near(word, patronymic) if often < RIVAL * known[w]]
             self.right[word, patronymic] = max(meant)[1] if meant else word
         return self.right[word, patronymic]
 
