@@ -24,8 +24,9 @@ LIGHT_ROWS = 10_000
 
 def heavy_keys(counts: DataFrame, key: str, n: str = "n", share: float = HEAVY_SHARE) -> DataFrame:
     """Of pre-aggregated ``counts`` (key, n), the keys with at least ``share`` of all rows: at most 1/share rows."""
-    total = counts.agg(F.sum(n).alias("__total"))
-    return counts.groupBy(key).agg(F.sum(n).alias("__n")).crossJoin(F.broadcast(total)).where(F.col("__n") >= F.col("__total") * share).select(key)
+    total = counts.agg(F.sum(n).alias("__total")).withColumn("__one", F.lit(1))  # a single row
+    summed = counts.groupBy(key).agg(F.sum(n).alias("__n")).withColumn("__one", F.lit(1))
+    return summed.join(F.broadcast(total), "__one").where(F.col("__n") >= F.col("__total") * share).select(key)
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, how: str = "left") -> DataFrame:
