@@ -259,6 +259,11 @@ WITH d AS (SELECT concat_ws(' ', CASE WHEN court <> '' THEN 'Суд: ' || court
 UNION ALL SELECT CASE WHEN coalesce(s_name, '') = '' THEN '' WHEN s_suppkey % 4 > 0 THEN s_name || '. Платник податку на додану вартість, реєстрація ' || CASE WHEN s_suppkey % 3 > 0 AND s_name <> '' THEN s_name ELSE 'невідома' END || ' (ІПН ' || s_suppkey || ').' ELSE s_name || '.' END FROM supplier
 UNION ALL SELECT concat_ws(' ', 'ТОВ ' || s_name, 'ЄДРПОУ ' || s_suppkey || '.', 'Стан: зареєстровано.', 'Засновники: ' || s_name || '.', CASE WHEN s_name <> '' THEN 'Статут: ' || substr(s_name, 1, 220) || '.' END) FROM supplier)
 SELECT line, count(*) AS n FROM d GROUP BY 1""",
+    "html_to_text": r"""
+WITH p AS (SELECT doc_id, '<html><style>p {color: red}</style><body><p class=''a''>' || replace(text, chr(10), '</p><p>') || '</p><script>if (1 > 0) {}</script>&copy; &amp;' || source || '</body></html>' AS page
+  FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\x00-\x7f\x{400}-\x{4ff}«»№’]')),
+t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(page, '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM p)
+SELECT doc_id, md5(trim(replace(replace(replace(replace(replace(text, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&'))) AS text_md5 FROM t""",
     "hosts": "SELECT coalesce(lower(regexp_extract(source_url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '') AS host, count(*) AS n FROM provenance GROUP BY 1",
     "pending_docs": """
 SELECT document_id, arg_min(source_url, rec_id) AS source_url FROM edrsr_records WHERE document_id IS NOT NULL AND regexp_matches(lower(split_part(source_url, '?', 1)), '(\\.rtf|\\.html|\\.txt)$')
