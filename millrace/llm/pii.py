@@ -186,7 +186,7 @@ def units(pii_type: str, text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _UNIT.finditer(text):
         word = m.group()
-        if word.lower() in KEPT or (pii_type == "NAME" and len(word) == 1):
+        if word.lower() in KEPT or (pii_type == "NAME" and len(word) == 1) or not any(c.isalnum() for c in word):
             continue
         if word.isdigit():
             out.append((*m.span(), f"N{len(word)}:{word}"))
@@ -224,11 +224,46 @@ def wear(original: str, unit: str, core: str) -> str:
     return core.upper() if original.isupper() and len(original) > 1 else core.capitalize() if original[0].isupper() else core
 
 
+def _shape(unit: Column) -> Column:
+    """What all draws of a unit share: its kind, length and, of words, script and places of vowels."""
+    kind, core = F.split(unit, ":")[0], F.substring_index(unit, ":", -1)
+    places = F.regexp_replace(F.regexp_replace(core, "[аеєиіїоуюяaeiouy]", "0"), "\\p{L}", "1")
+    return F.concat_ws(":", kind, F.when(kind == "W", F.concat(F.when(core.rlike("^[\\x00-\\x7f]+$"), "l").otherwise("c"), places)).otherwise(F.length(core).cast("string")))
+
+
+def _exchanged(secret: bytes, pending: DataFrame, done: DataFrame) -> DataFrame:
+    """(unit, kind, core) of all units; those without a draw take, in keyed order, the original of the next one of their shape.
+
+    No draw equals an original, so this stays one to one. A unit left alone in its shape changes with one that has a draw: it
+    takes the draw, the other its original. One without any other of its shape takes a core of twice its length.
+    """
+
+    @F.pandas_udf("string")
+    def keyed(values):  # noqa: ANN001, ANN202
+        return values.map(lambda u: hmac.new(secret, f"{u}\x00exchange".encode(), hashlib.sha256).hexdigest())
+
+    @F.pandas_udf("string")
+    def longer(values):  # noqa: ANN001, ANN202
+        return values.map(lambda u: draw(secret, u + u.partition(":")[2], 0))
+
+    rows = pending.select("unit", F.split("unit", ":")[0].alias("kind"), F.substring_index("unit", ":", -1).alias("own"), _shape(F.col("unit")).alias("shape"), keyed("unit").alias("order"))
+    ring = Window.partitionBy("shape").orderBy("order", "unit")
+    rows = cut(rows.withColumn("taken", F.coalesce(F.lead("own").over(ring), F.first("own").over(ring))))
+    lone = rows.where("taken = own").select("unit", "kind", "own", "shape")
+    others = done.withColumn("shape", _shape(F.col("unit"))).join(lone.select("shape", "own"), "shape")
+    others = cut(others.groupBy("shape").agg(F.min_by(F.struct("unit", "core", "own"), "unit").alias("other")).select("shape", "other.*"))
+    kept = done.join(others.select("unit", F.col("own").alias("__own")), "unit", "left").select("unit", "kind", F.coalesce("__own", "core").alias("core"))
+    changed = lone.join(others.select("shape", "core"), "shape", "left").select("unit", "kind", F.coalesce("core", longer("unit")).alias("core"))
+    return kept.unionByName(rows.where("taken != own").select("unit", "kind", F.col("taken").alias("core"))).unionByName(changed)
+
+
 def surrogates(docs: DataFrame, key: str, secret: bytes, text: str = "text", most_turns: int = 40) -> DataFrame:
     """(key, text) of every row with each passage replaced by its surrogate; null and empty texts stay, other columns go.
 
     ``key`` must be unique. Distinct units of the corpus draw by a keyed hash; where a draw meets that of another unit or
-    an original of the same kind, all but the least unit draw again. So replacing is one to one over the corpus.
+    an original of the same kind, all but the least unit draw again. Units that ``most_turns`` draws leave without one (of
+    short kinds the corpus may use every value) exchange their originals. So replacing is one to one over the corpus, and
+    no unit keeps its original.
     """
     found = cut(passages(docs, key, text))
 
@@ -256,8 +291,8 @@ def surrogates(docs: DataFrame, key: str, secret: bytes, text: str = "text", mos
         pending = cut(pending.join(rows.select("unit"), "unit", "left_anti"))
         if pending.isEmpty():
             break
-    # what is left has no free draw of its own length (say, one-digit house numbers); it keeps a one-to-one map by standing as it is
-    done = done.unionByName(pending.select("unit", F.split("unit", ":")[0].alias("kind"), F.substring_index("unit", ":", -1).alias("core")))
+    if not pending.isEmpty():
+        done = cut(_exchanged(secret, pending, done))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
