@@ -4,12 +4,15 @@ Words are compared without case, punctuation and look-alike characters. A shard
 numbers: a word of the test vocabulary has its own, any other is a separator that no phrase can cross. Its suffixes are
 sorted, its Burrows-Wheeler transform is kept in a wavelet matrix, and a sample of suffix positions serves to locate rows.
 All test phrases are searched backwards at once through wavelet ranks. Whole runs of ``run`` words are hits at
-once; runs of ``seed`` words only propose passages, which an exact longest-common-subsequence count then accepts or not.
+once; hits of single words propose windows that hold enough of an item's words in any order, which no passage can miss, and
+an exact longest-common-subsequence count then accepts them or not.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,14 +134,13 @@ class FMIndex:
 
 
 class Items:
-    """Test items as word numbers, with their distinct runs of ``run`` and of ``seed`` words."""
+    """Test items as word numbers, with their distinct runs of ``run`` words and the places of each word."""
 
-    def __init__(self, items: list[tuple[int, str]], run: int, seed: int):
+    def __init__(self, items: list[tuple[int, str]], run: int):
         self.ids, words = [i for i, _ in items], [plain_words(t) for _, t in items]
         self.number = {w: k + 1 for k, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for ws in words]
-        self.run, self.seed = run, seed
-        self.runs, self.seeds = self._grams(run), self._grams(seed)
+        self.run, self.runs = run, self._grams(run)
         self.bits = []
         for ws in self.words:
             bits: dict[int, int] = {}
@@ -167,6 +169,18 @@ def _common(bits: dict[int, int], m: int, passage: list[int]) -> int:
     return m - v.bit_count()
 
 
+def _shortest(bits: dict[int, int], m: int, passage: list[int], least: int) -> int:
+    """How many first words of a passage have a common subsequence of ``least`` words with the item."""
+    full = (1 << m) - 1
+    v = full
+    for k, w in enumerate(passage, 1):
+        u = v & bits.get(w, 0)
+        v = ((v + u) | (v - u)) & full
+        if m - v.bit_count() >= least:
+            return k
+    return len(passage)
+
+
 def _found(index: FMIndex, grams: tuple, doc_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All places of the phrases: document, item, place in the shard, place in the item."""
     phrases, starts, item, place = grams
@@ -182,7 +196,53 @@ def _found(index: FMIndex, grams: tuple, doc_of: np.ndarray) -> tuple[np.ndarray
     return doc_of[at], item[which], at, place[which]
 
 
-def search_shard(docs: list[list[int]], items: Items, keep: float, least_seeds: float) -> Iterator[tuple[int, int, int, int]]:
+def _held(index: FMIndex, items: Items, words: np.ndarray, doc_of: np.ndarray, first: np.ndarray, end: np.ndarray, keep: float) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, first word, last word + 1) of passages that keep ``keep`` of an item's words in order.
+
+    A passage has room for half as many words again as the item. Its start is tried wherever such a window holds enough of
+    the item's words, each as often as the item at most; as a window that moves by a word gains one at most, a window that
+    lacks k words moves by k.
+    """
+    low, high = index.search(np.arange(1, len(items.number) + 1).reshape(-1, 1))
+    many = high - low
+    starts = np.concatenate(([0], np.cumsum(many)))
+    at = index.locate(np.arange(many.sum()) - np.repeat(starts[:-1], many) + np.repeat(low, many))
+    at = at[np.lexsort((at, np.repeat(np.arange(len(many)), many)))]
+    for i, own in enumerate(items.words):
+        m = len(own)
+        if not m:
+            continue
+        least, width, bits = max(1, math.ceil(keep * m - 1e-9)), m + m // 3 + m // 6 + 4, items.bits[i]
+        places, before = [], []
+        for w, often in zip(*np.unique(own, return_counts=True), strict=True):
+            here = at[starts[w - 1] : starts[w]]
+            places.append(here)
+            before.append(np.concatenate((np.full(min(often, len(here)), -1), here[:-often])))
+        place, used = np.concatenate(places), np.concatenate(before)
+        if len(place) < least:
+            continue
+        since = np.maximum(np.maximum(used + 1, place - width + 1), first[doc_of[place]])  # windows that start here to there count this hit
+        change = np.bincount(since, minlength=len(words) + 1) - np.bincount(place + 1, minlength=len(words) + 1)
+        good = np.flatnonzero(np.cumsum(change) >= least).tolist()
+        back = {w: int(f"{b:0{m}b}"[::-1], 2) for w, b in bits.items()}
+        k = 0
+        while k < len(good):
+            a = good[k]
+            d = int(doc_of[a])
+            stop = int(end[d])
+            passage = words[a : min(stop, a + width)].tolist()
+            got = _common(bits, m, passage)
+            if got < least:
+                k = bisect_left(good, min(a + least - got, stop), k + 1)
+                continue
+            a += len(passage) - _shortest(back, m, passage[::-1], got)
+            passage = words[a : min(stop, a + width)].tolist()
+            z = a + _shortest(bits, m, passage, _common(bits, m, passage))
+            yield d, i, a, z
+            k = bisect_left(good, z, k + 1)
+
+
+def search_shard(docs: list[list[int]], items: Items, keep: float) -> Iterator[tuple[int, int, int, int]]:
     """(document, item, first word, last word + 1) of merged passages; documents are word-number lists."""
     lengths = np.array([len(d) + 1 for d in docs])
     words = np.array([x for d in docs for x in (*d, 0)], np.int64)
@@ -192,32 +252,8 @@ def search_shard(docs: list[list[int]], items: Items, keep: float, least_seeds:
     doc, item, at, _ = _found(index, items.runs, doc_of)
     for d, i, a in zip(doc.tolist(), item.tolist(), at.tolist(), strict=True):
         spans.setdefault((d, i), []).append((a - int(first[d]), a - int(first[d]) + items.run))
-    doc, item, at, place = _found(index, items.seeds, doc_of)
-    size = np.array([len(w) for w in items.words])
-    pair = doc * len(size) + item
-    counts = np.bincount(pair, minlength=1)
-    enough = counts[pair] >= np.maximum(2, size[item] * least_seeds)
-    doc, item, at, place, pair = (x[enough] for x in (doc, item, at, place, pair))
-    line = at - place
-    order = np.lexsort((line, pair))
-    pair, line, item, doc = pair[order], line[order], item[order], doc[order]
-    band = size[item] // 3 + 1
-    if len(pair):
-        width = int(line.max() - line.min()) + int(band.max()) * 2 + 2
-        key = pair * width + (line - line.min())
-        inside = np.searchsorted(key, key + band, side="right") - np.arange(len(key))  # seeds on this and the next few diagonals
-        good = np.flatnonzero(inside >= np.maximum(2, size[item] * least_seeds))
-        tried: dict[int, int] = {}
-        for k in good.tolist():
-            d, i, m = int(doc[k]), int(item[k]), int(size[item[k]])
-            start = int(line[k])
-            if tried.get(int(pair[k]), -(1 << 60)) > start - m // 6:
-                continue  # the passage of the last try covers this one
-            tried[int(pair[k])] = start
-            a = max(int(first[d]), start - 2)
-            z = min(int(first[d] + lengths[d] - 1), start + m + m // 3 + m // 6 + 2)
-            if _common(items.bits[i], m, words[a:z].tolist()) >= keep * m:
-                spans.setdefault((d, i), []).append((a - int(first[d]), z - int(first[d])))
+    for d, i, a, z in _held(index, items, words, doc_of, first, first + lengths - 1, keep):
+        spans.setdefault((d, i), []).append((a - int(first[d]), z - int(first[d])))
     for (d, i), found in spans.items():
         found.sort()
         a, z = found[0]
@@ -229,12 +265,10 @@ def search_shard(docs: list[list[int]], items: Items, keep: float, least_seeds:
         yield d, i, a, z
 
 
-def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", run: int = 14, keep: float = 2 / 3, seed: int = 3, least_seeds: float = 0.125) -> DataFrame:
+def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", run: int = 14, keep: float = 2 / 3) -> DataFrame:
     """(key, item, start, end): merged character spans of each document that hold an item wholly or partly.
 
-    A span holds ``run`` consecutive words of the item, or a passage that keeps ``keep`` of all its words in order. Such a
-    passage is proposed by at least ``least_seeds`` times the item's length of its runs of ``seed`` words on nearby
-    diagonals. Null and empty texts hold and are nothing; items are searched in blocks of BLOCK_ITEMS against every row, so
+    A span holds ``run`` consecutive words of the item, or a passage that keeps ``keep`` of all its words in order. Null and empty texts hold and are nothing; items are searched in blocks of BLOCK_ITEMS against every row, so
     what is sent to workers is bounded; repeated rows give repeated results.
     """
     ship(docs.sparkSession)
@@ -242,7 +276,7 @@ def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     parts = []
     rows = iter(tests.toLocalIterator())
     while block := [r for _, r in zip(range(BLOCK_ITEMS), rows, strict=False)]:
-        parts.append(_leaked_block(docs, Items([(r[0], r[1]) for r in block], run, seed), key, text, item, items.schema[item].dataType.simpleString(), keep, least_seeds))
+        parts.append(_leaked_block(docs, Items([(r[0], r[1]) for r in block], run), key, text, item, items.schema[item].dataType.simpleString(), keep))
     if not parts:
         return docs.select(key).limit(0).selectExpr(f"`{key}`", f"cast(null as {items.schema[item].dataType.simpleString()}) as `{item}`", "cast(0 as int) as start", "cast(0 as int) as end")
     out = parts[0]
@@ -251,7 +285,7 @@ def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     return out
 
 
-def _leaked_block(docs: DataFrame, block: Items, key: str, text: str, item: str, item_type: str, keep: float, least_seeds: float) -> DataFrame:
+def _leaked_block(docs: DataFrame, block: Items, key: str, text: str, item: str, item_type: str, keep: float) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +298,7 @@ def _leaked_block(docs: DataFrame, block: Items, key: str, text: str, item: str,
 
         def flush() -> pa.RecordBatch:
             out = []
-            for d, i, a, z in search_shard(lists, tests, keep, least_seeds):
+            for d, i, a, z in search_shard(lists, tests, keep):
                 places = [m.span() for m in re.finditer(r"\S+", texts[d]) if number.get(m.group(), 0) >= 0]
                 out.append((ids[d], tests.ids[i], places[a][0], places[z - 1][1]))
             columns = list(zip(*out, strict=True)) or [[], [], [], []]

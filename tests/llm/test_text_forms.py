@@ -139,6 +139,24 @@ def test_leaked(spark):
     assert leakage.leaked(docs.limit(0), items).count() == 0 and leakage.leaked(docs, items.limit(0)).count() == 0
 
 
+def test_leaked_against_every_window(spark):
+    """Passages without runs of words are found, and no pair is that no window holds."""
+    pick = random.Random(5)
+    noise = lambda n: [f"шум{pick.randrange(500)}" for _ in range(n)]
+    texts = {1: noise(20) + [f"інше{k}" if k % 3 == 2 else w for k, w in enumerate(ITEM)] + noise(20), 2: noise(7) + [w for k, w in enumerate(ITEM) if k % 3] + noise(3)}
+    for k in range(3, 60):  # a third or a little more is changed, among words of the item out of order
+        kept = set(pick.sample(range(60), pick.randrange(36, 46)))
+        stray = lambda: [pick.choice(ITEM)] if pick.random() < 0.1 else []
+        texts[k] = noise(9) + [x for j, w in enumerate(ITEM) for x in ([w] if j in kept else noise(pick.randrange(2))) + stray()] + noise(9)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in leakage.leaked(docs, spark.createDataFrame([(7, " ".join(ITEM))], "item_id long, text string")).collect()}
+    bits = {w: 1 << p for p, w in enumerate(ITEM)}
+    wanted = {k for k, t in texts.items() if any(leakage._common(bits, 60, t[a : a + 94]) >= 40 for a in range(len(t)))}
+    runs = {k for k, t in texts.items() if any(t[a : a + 14] == ITEM[j : j + 14] for a in range(len(t)) for j in range(47))}
+    assert {1, 2} <= wanted and len(wanted) < len(texts) and set(got) == wanted | runs
+    assert " ".join(texts[1][20:79]) == " ".join(texts[1])[got[1].start : got[1].end]
+
+
 def test_common_subsequence():
     pick = random.Random(1)
     for _ in range(60):
