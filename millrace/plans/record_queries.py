@@ -95,10 +95,19 @@ def chunk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.chunks(rows, "source", "doc_id").select("source", "chunk", F.length("text").alias("n_chars"))
 
 
+def _page_texts(rows: DataFrame) -> DataFrame:
+    page = F.concat(F.lit("<html><style>p {color: red}</style><body><p class='a'>"), F.replace("text", F.lit("\n"), F.lit("</p><p>")), F.lit("</p><script>if (1 > 0) {}</script>&copy; &amp;"), F.col("source"), F.lit("</body></html>"))
+    return rows.where(F.col("text").isNotNull()).select("doc_id", F.md5(T.html_to_text(page)).alias("text_md5"))
+
+
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of pages made from the documents whose characters its SQL reads alike; ``html_to_text_all`` reads all."""
+    return _page_texts(table(spark, sf_dir, "documents").where(~F.col("text").rlike("[^\\x00-\\x7f\\u0400-\\u04ff«»№’]")))
+
+
+def html_to_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of pages made from documents."""
-    page = F.concat(F.lit("<html><style>p {color: red}</style><body><p class='a'>"), F.replace("text", F.lit("\n"), F.lit("</p><p>")), F.lit("</p><script>if (1 > 0) {}</script>&copy; &amp;"), F.col("source"), F.lit("</body></html>"))
-    return table(spark, sf_dir, "documents").where(F.col("text").isNotNull() & ~F.col("text").rlike("[^\\x00-\\x7f\\u0400-\\u04ff«»№’]")).select("doc_id", F.md5(T.html_to_text(page)).alias("text_md5"))
+    return _page_texts(table(spark, sf_dir, "documents"))
 
 
 def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +226,7 @@ def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.numbered(keys, "l_orderkey").groupBy(F.floor(F.col("n") / 10_000).alias("part")).agg(F.count("*").alias("n_rows"), F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, extract_codes, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, hosts, pending_docs, resource_diff, title_rank, catalog_page, throttle_block, drift_profile, signal_freshness, overall_state, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
+QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, extract_codes, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, html_to_text_all, hosts, pending_docs, resource_diff, title_rank, catalog_page, throttle_block, drift_profile, signal_freshness, overall_state, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
 
 _KEYWORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in T.ORG_KEYWORDS)
 _SENTINELS = ", ".join(f"'{w}'" for w in T.SENTINEL_NAMES)

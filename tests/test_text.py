@@ -1,7 +1,10 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.plans import record_queries
 
 
 def one(spark, value, make, kind="string"):
@@ -83,3 +86,10 @@ def test_validators_and_rates(spark):
     assert one(spark, 0, lambda c: T.learning_rate(c, 1.0, 10, 110), "int") == pytest.approx(0.1)
     assert one(spark, 110, lambda c: T.learning_rate(c, 1.0, 10, 110), "int") == pytest.approx(0.1)
     assert one(spark, 503, lambda c: T.failure_kind(F.lit(None), c), "int") == "source_throttled"
+
+
+def test_pages_of_all_documents(spark, tmp_path):
+    texts = ["Суд\nі час", "Postanowienie sądu: zażółć", "Ｓｕｄ５", "а\u00a0б\u2007\u3000в", "ο Cуд"]
+    spark.createDataFrame([*((k, t, "джерело") for k, t in enumerate(texts)), (9, None, "x")], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text_md5 for r in record_queries.html_to_text_all(spark, str(tmp_path)).collect()}
+    assert got == {k: hashlib.md5(f"{' '.join(t.split())} © &джерело".encode()).hexdigest() for k, t in enumerate(texts)}
