@@ -531,9 +531,8 @@ def _lexicons(written: DataFrame) -> tuple[dict[str, int], dict[str, int], set[s
         keep = keep | ((F.col("role") == role) & (F.col("n") >= max(2, total * LEXICON_SHARE)))
     rows = counts.where(keep).collect()
     of = lambda role: {r["word"]: r["n"] for r in rows if r["role"] == role}
-    common = {k: v for k, v in of("g").items()}
-    top = max(common.values(), default=1)
-    given = {k: v for k, v in common.items() if v >= max(3, top * 0.05)}
+    common = Parser(of("g"), {}, set())
+    given = {k: v for k, v in common.given.items() if v >= 3 and common._corrected(k, False) == k}  # without typing errors
     return given, of("p"), {k for k, v in of("f").items() if v >= 3 and len(k) > 2}
 
 

@@ -64,6 +64,16 @@ def test_link(spark):
     assert sum(v == got[1] for v in got.values()) == len(GROUPS[0])
 
 
+def test_link_rare_given_name(spark):
+    # one given name has most persons; a rare one is still a given name
+    rows = [(1000 + k, f"ЗАПРЕЗ{chr(0x410 + k % 26)}{chr(0x410 + k // 26)}КО ОЛЕКСАНДР ЕДУАРДОВИЧ") for k in range(120)]
+    rows += [(2000 + k, f"ВУЗГУ{chr(0x410 + k)}АР БОРЕСЛАВ ЛЕОНІДОВИЧ") for k in range(4)]
+    rows += [(1, "КУНХІКЮРА БОРЕСЛАВ ЕДУАРДОВИЧ"), (2, "КУНХІКЮРА БОРЕСЛАВ"), (3, "КУНХІКЮРА ОЛЕКСАНДР")]
+    got = {r.entity_id: r.group for r in names.link(spark.createDataFrame(rows, "entity_id long, name string")).collect()}
+    assert names.letters("БОРЕСЛАВ") not in names.GIVEN_OF
+    assert got[1] == got[2] != got[3]
+
+
 def test_link_empty_and_pairs(spark):
     assert names.link(spark.createDataFrame([], "entity_id long, name string")).count() == 0
     groups = spark.createDataFrame([(1, "a"), (3, "a"), (2, "a"), (4, "b")], "entity_id long, group string")
