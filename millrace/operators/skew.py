@@ -82,8 +82,7 @@ def hot_values(df: DataFrame, field: str, value: str, share: float) -> DataFrame
     statistics at those ranks are the only candidates; their exact counts decide.
     """
     step = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(share)))
-    many = int(1 / share) + 2
-    ranks = F.filter(F.sequence(step, F.greatest(step, F.least(F.col("n"), step * many)), step), lambda r: r <= F.col("n"))
+    ranks = F.sequence(step, F.col("n"), step)  # at most 2 / share
     found = select_ranks(df, [field], value, ranks).select(field, F.col("value").alias(value)).distinct()
     totals = df.groupBy(field).agg(F.count("*").alias("total"))
     exact = df.join(F.broadcast(found), [field, value], "left_semi").groupBy(field, value).agg(F.count("*").alias("n"))

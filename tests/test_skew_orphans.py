@@ -37,6 +37,13 @@ def test_hot_values(spark):
     assert sorted((r.field, r.key, r.n) for r in got.collect()) == [("f", 1, 30), ("g", 9, 2)]
 
 
+def test_hot_values_of_small_tables(spark):
+    for n, many in ((79, 2), (519, 13), (1, 1)):
+        df = spark.createDataFrame([("f", k) for k in range(n - many)] + [("f", 9999)] * many, "field string, v long")
+        got = {r.v: r.n for r in skew.hot_values(df, "field", "v", 0.025).collect()}
+        assert got == {9999: many}
+
+
 def test_join_unique_keeps_rows(spark):
     left = spark.createDataFrame([(1, "x")] * 50 + [(2, "y"), (None, "z")], "k int, v string")
     right = spark.createDataFrame([(1, "one"), (3, "three")], "k int, w string")
