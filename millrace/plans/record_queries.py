@@ -164,10 +164,19 @@ def signal_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.freshness(rows, F.to_timestamp(F.lit(NOW))).select("signal", "age_hours", "effective")
 
 
-def overall_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _overall(rows: DataFrame) -> DataFrame:
     state = F.element_at(F.array(*[F.lit(s) for s in control.PRECEDENCE]), (F.col("event_id") % 4 + 1).cast("int"))
-    rows = table(spark, sf_dir, "events").where("event_id % 5 > 0").select("event_type", F.when(F.col("user_id") % 50 > 3, "green").otherwise(state).alias("effective"))
-    return control.overall(rows, by=["event_type"])
+    return control.overall(rows.select("event_type", F.when(F.col("user_id") % 50 > 3, "green").otherwise(state).alias("effective")), by=["event_type"])
+
+
+def overall_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overall state of each event type over the four fifths of events that its SQL reads; ``overall_state_all`` reads all."""
+    return _overall(table(spark, sf_dir, "events").where("event_id % 5 > 0"))
+
+
+def overall_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overall state of each event type over all events."""
+    return _overall(table(spark, sf_dir, "events"))
 
 
 def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +235,7 @@ def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.numbered(keys, "l_orderkey").groupBy(F.floor(F.col("n") / 10_000).alias("part")).agg(F.count("*").alias("n_rows"), F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, extract_codes, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, html_to_text_all, hosts, pending_docs, resource_diff, title_rank, catalog_page, throttle_block, drift_profile, signal_freshness, overall_state, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
+QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, extract_codes, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, html_to_text_all, hosts, pending_docs, resource_diff, title_rank, catalog_page, throttle_block, drift_profile, signal_freshness, overall_state, overall_state_all, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
 
 _KEYWORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in T.ORG_KEYWORDS)
 _SENTINELS = ", ".join(f"'{w}'" for w in T.SENTINEL_NAMES)

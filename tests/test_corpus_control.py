@@ -93,3 +93,12 @@ def test_secrets_and_files(spark):
 def test_losses(spark):
     rows = spark.createDataFrame(pd.DataFrame({"f": ["a"] * 4, "ordinal": [0, 1, 2, 3], "step": [1, 2, 3, 4], "val_loss": [3.0, 1.0, 2.0, None]}).astype({"val_loss": object}), "f string, ordinal int, step int, val_loss double")
     assert tuple(control.last_losses(rows, "f").first()) == ("a", 2.0, 1.0, 4)
+
+
+def test_overall_of_all_events(spark, tmp_path):
+    from millrace.plans import record_queries
+
+    # the only red event has a number that five divides
+    spark.createDataFrame([(15, 0, "a"), (1, 0, "a"), (4, 0, "b"), (10, 9, "b")], "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.event_type: r.overall for r in record_queries.overall_state_all(spark, str(tmp_path)).collect()}
+    assert got == {"a": "red", "b": "green"}
