@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.session import cut
@@ -38,6 +38,26 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, h
     return left.join(F.broadcast(heavy), key, "left_semi").join(few, key, how).unionByName(left.join(F.broadcast(heavy), key, "left_anti").join(right, key, how))
 
 
+def heavy_values(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
+    """Keys that hold ``share`` of the rows or more, at most 1/share of them; counted before the shuffle."""
+    seen = Observation()
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")).observe(seen, F.sum("__n").alias("total"))
+    most = counts.orderBy(F.desc("__n")).limit(int(1 / share)).collect()
+    return [r[0] for r in most if r["__n"] >= share * seen.get["total"] and r["__n"] > 1]
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str, by: str, parts: int = 32, share: float = HEAVY_SHARE) -> DataFrame:
+    """Inner join of two sides that both repeat keys: rows of ``left`` under a heavy key are dealt out to ``parts`` tasks by a
+    hash of ``by``, and the few keys' rows of ``right`` go to each of them. Null keys match nothing."""
+    heavy = heavy_values(left, key, share)
+    if not heavy:
+        return left.join(right, key)
+    hot = F.col(key).isin(heavy)
+    dealt = left.withColumn("__part", F.when(hot, F.pmod(F.xxhash64(by), F.lit(parts))).otherwise(0).cast("int"))
+    copied = right.withColumn("__part", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(copied, [key, "__part"]).drop("__part")
+
+
 def _of_targets(rows: DataFrame, targets: DataFrame, on: list[str], small: bool) -> DataFrame:
     open_bins = targets.select(*on).distinct()
     return rows.join(F.broadcast(open_bins) if small else open_bins, on, "left_semi")

@@ -67,3 +67,20 @@ def test_orphans(spark):
 def test_plain_key(spark):
     got = spark.createDataFrame([("  Case-1  ",), ("",), (None,)], "k string").select(orphans.plain_key(F.col("k")).alias("k")).collect()
     assert [r.k for r in got] == ["case-1", "", None]
+
+
+def test_join_split_of_a_hot_key(spark):
+    left = spark.range(300).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("l")).union(spark.createDataFrame([(None, 5)], "k long, l long"))
+    right = spark.createDataFrame([(7, "a"), (7, "b"), (10, "c"), (None, "d")], "k long, r string")
+    assert skew.heavy_values(left, "k") == [7] and skew.heavy_values(left.limit(0), "k") == []
+    plan = skew.join_split(left, right, "k", "l")
+    assert sorted(plan.collect()) == sorted(left.join(right, "k").collect()) and plan.count() == 203
+
+
+def test_stored_table(spark):
+    from millrace.session import discard, stored
+
+    done = stored(spark.range(10).withColumn("s", F.lit(None).cast("string")), n=F.count("*"), top=F.max("id"))
+    assert done.seen == {"n": 10, "top": 9} and done.count() == 10 and stored(done.limit(0)).count() == 0
+    discard(done)
+    assert not __import__("os").path.exists(done.stored_at.removeprefix("file:"))
