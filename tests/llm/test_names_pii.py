@@ -74,6 +74,37 @@ def test_link_rare_given_name(spark):
     assert got[1] == got[2] != got[3]
 
 
+def test_near_words_against_all_pairs(spark):
+    pick = random.Random(4)
+    words = {"".join(pick.choice("абв") for _ in range(pick.randrange(3, 9))) for _ in range(400)}
+    got = {(r.a, r.b) for r in names.near_words(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+    wanted = {tuple(sorted((a, b), key=lambda w: (len(w), w))) for a in words for b in words if a < b and min(len(a), len(b)) >= names.LEAST_WORD and names.near(a, b)}
+    assert got == wanted and len(wanted) > 100
+
+
+def test_parser_keeps_every_part():
+    parse = names.Parser({"олександр": 9, "іван": 9}, {"едуардович": 9, "семенович": 9}, set()).parse
+    assert parse("ОЛЕКСАНДР ЕДУАРДОВИЧ ОГЛИ КУНХІК") == parse("КУНХІК ОЛЕКСАНДР ЕДУАРДОВИЧ ОГЛИ") == ("p", "кунхік", "олександр", "едуардович", "огли")
+    assert parse("НЕЧУЙ ЛЕВИЦЬКИЙ ІВАН СЕМЕНОВИЧ") == ("p", "нечуі-левицкиі", "іван", "семенович") == parse("ІВАН СЕМЕНОВИЧ НЕЧУЙ ЛЕВИЦЬКИЙ")
+    assert parse("НЕЧУЙ ЛЕВИЦЬКИЙ І. С.") == ("p", "нечуі-левицкиі", "і.", "с.")
+    assert parse("ДЕ ЛА КУНХІК ІВАН СЕМЕНОВИЧ") == ("p", "де-ла-кунхік", "іван", "семенович")
+    assert parse("KУНXIК IВАН СЕМЕНОВИЧ") == parse("КУНХІК ІВАН СЕМЕНОВИЧ")  # Latin look-alikes
+    assert parse("КУНХІК I. C.") == ("p", "кунхік", "і.", "с.") and parse("ТОВ «AGRO ПЛЮС»") == ("o", "агро", "плюс")
+    judge = names.Judge({})
+    assert judge.same(parse("КУНХІК ІВАН СЕМЕНОВИЧ"), parse("КУНХІК ІВАН СЕМЕНОВИЧ ОГЛИ")) and not judge.same(parse("КУНХІК ІВАН СЕМЕНОВИЧ КИЗИ"), parse("КУНХІК ІВАН СЕМЕНОВИЧ ОГЛИ"))
+
+
+def test_link_one_surname_with_a_tenth_of_the_names(spark):
+    given, patronymic = [g for g, _ in FILL[:4]] + ["ІВАН", "ПЕТРО", "СТЕПАН", "РОМАН"], ["ЛЕОНІДОВИЧ", "ТИМОФІЙОВИЧ", "ЕДУАРДОВИЧ", "ІВАНОВИЧ", "ПЕТРОВИЧ"]
+    rows = [(k, f"КУНХІКЮРА {g} {p}") for k, (g, p) in enumerate((g, p) for g in given for p in patronymic)]
+    rows += [(100 + k, name.replace("КУНХІКЮРА", "КУНХІЮРА")) for k, name in rows]  # each also with an error in the surname
+    rows += [(300 + k, f"КУНХІКЮРА {g[0]}. {p[0]}.") for k, (g, p) in enumerate([("ІВАН", "ЛЕОНІДОВИЧ"), ("БОГДАН", "ПЕТРОВИЧ")])]
+    rows += [(1000 + k, f"ЗА{a}РЕЗ{b}КО {given[k % 8]} {patronymic[k % 5]}") for k, (a, b) in enumerate((chr(0x410 + i), chr(0x410 + j) * 2) for i in range(26) for j in range(26))]
+    got = {r.entity_id: r.group for r in names.link(spark.createDataFrame(rows, "entity_id long, name string")).collect()}
+    assert len(got) == len(rows) and all(got[k] == got[100 + k] for k in range(40))
+    assert len({got[k] for k in range(40)}) == 40 and got[300] == got[20] and got[301] == got[9]
+
+
 def test_link_empty_and_pairs(spark):
     assert names.link(spark.createDataFrame([], "entity_id long, name string")).count() == 0
     groups = spark.createDataFrame([(1, "a"), (3, "a"), (2, "a"), (4, "b")], "entity_id long, group string")
