@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut
+from millrace.session import cut, stored
 
 #: A key with this share of all rows counts as heavy; so at most HEAVY_SHARE ** -1 keys do.
 HEAVY_SHARE = 0.005
@@ -23,10 +23,12 @@ LIGHT_ROWS = 10_000
 
 
 def heavy_keys(counts: DataFrame, key: str, n: str = "n", share: float = HEAVY_SHARE) -> DataFrame:
-    """Of pre-aggregated ``counts`` (key, n), the keys with at least ``share`` of all rows: at most 1/share rows."""
-    total = counts.agg(F.sum(n).alias("__total")).withColumn("__one", F.lit(1))  # a single row
-    summed = counts.groupBy(key).agg(F.sum(n).alias("__n")).withColumn("__one", F.lit(1))
-    return summed.join(F.broadcast(total), "__one").where(F.col("__n") >= F.col("__total") * share).select(key)
+    """Of pre-aggregated ``counts`` (key, n), the keys with at least ``share`` of all rows: at most 1/share, as a local table."""
+    seen = Observation()
+    summed = counts.groupBy(key).agg(F.sum(n).alias("__n")).observe(seen, F.sum("__n").alias("total"))
+    most = summed.where(F.col(key).isNotNull()).orderBy(F.desc("__n")).limit(int(1 / share)).collect()
+    rows = [(r[0],) for r in most if r["__n"] >= share * seen.get["total"]]
+    return counts.sparkSession.createDataFrame(rows, f"`{key}` {counts.schema[key].dataType.simpleString()}")
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, how: str = "left") -> DataFrame:
@@ -58,23 +60,19 @@ def join_split(left: DataFrame, right: DataFrame, key: str, by: str, parts: int
     return dealt.join(copied, [key, "__part"]).drop("__part")
 
 
-def _of_targets(rows: DataFrame, targets: DataFrame, on: list[str], small: bool) -> DataFrame:
-    open_bins = targets.select(*on).distinct()
-    return rows.join(F.broadcast(open_bins) if small else open_bins, on, "left_semi")
-
-
 def select_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Column, bits: int = 10) -> DataFrame:
     """Exact order statistics per key: (*keys, rank, value) for each wanted rank (1 is the smallest value).
 
     ``value`` is a long column; ``ranks`` an array expression over ``n``, the key's row count. Rows whose key or value is
-    null do not count; ranks outside 1..n give no row; ties count once a row. Each round a task counts rows into at most
-    2**bits bins of each open interval, the counts are merged, and every rank steps into its bin, until bins are single
-    values. So a round moves counts, never rows, however hot a key is.
+    null do not count; ranks outside 1..n give no row; ties count once a row. The rows are read once, into counts per key
+    and value. Each round these are added up in at most 2**bits bins of each open interval, the sums are merged, and every
+    rank steps into its bin, until bins are single values. So a round moves counts, never rows, however hot a key is.
     """
     keys = list(keys)
     rows = df.select(*[F.col(k) for k in keys], F.col(value).cast("long").alias("__v")).dropna()
-    least, most = rows.agg(F.min("__v"), F.max("__v")).first() or (None, None)
-    schema_only = rows.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, F.explode(ranks.cast("array<long>")).alias("rank"), F.col("n").alias("__n"))
+    rows = stored(rows.groupBy(*keys, "__v").agg(F.count("*").alias("__c")), least=F.min("__v"), most=F.max("__v"))
+    least, most = rows.seen["least"], rows.seen["most"]
+    schema_only = rows.groupBy(*keys).agg(F.sum("__c").alias("n")).select(*keys, F.explode(ranks.cast("array<long>")).alias("rank"), F.col("n").alias("__n"))
     targets = schema_only.where(F.col("rank").between(1, F.col("__n"))).distinct().select(*keys, "rank", F.lit(0).cast("long").alias("__bin"), F.lit(0).cast("long").alias("__below"))
     if least is None:
         return targets.select(*keys, "rank", F.col("__bin").alias("value"))
@@ -85,8 +83,10 @@ def select_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Column,
     shift = span
     while shift > 0:
         step = min(bits, shift)
-        part = _of_targets(rows.withColumn("__bin", F.shiftright("__v", shift) if shift < 63 else F.lit(0).cast("long")), targets, [*keys, "__bin"], small)
-        counts = part.groupBy(*keys, "__bin", F.shiftright("__v", shift - step).alias("__next")).agg(F.count("*").alias("__c"))
+        part, open_ = rows.withColumn("__bin", F.shiftright("__v", shift) if shift < 63 else F.lit(0).cast("long")), targets.select(*keys, "__bin").distinct()
+        part = part.join(F.broadcast(open_), [*keys, "__bin"], "left_semi") if small else part
+        counts = part.groupBy(*keys, "__bin", F.shiftright("__v", shift - step).alias("__next")).agg(F.sum("__c").alias("__c"))
+        counts = counts if small else counts.join(open_, [*keys, "__bin"], "left_semi")  # many targets: bins are joined, not values
         running = Window.partitionBy(*keys, "__bin").orderBy("__next")
         counts = counts.withColumn("__upto", F.sum("__c").over(running))
         into = counts.join(F.broadcast(targets) if small else targets, [*keys, "__bin"]).where((F.col("rank") - F.col("__below") <= F.col("__upto")) & (F.col("rank") - F.col("__below") > F.col("__upto") - F.col("__c")))
@@ -104,8 +104,9 @@ def hot_values(df: DataFrame, field: str, value: str, share: float) -> DataFrame
     step = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(share)))
     ranks = F.sequence(step, F.col("n"), step)  # at most 2 / share
     found = select_ranks(df, [field], value, ranks).select(field, F.col("value").alias(value)).distinct()
-    totals = df.groupBy(field).agg(F.count("*").alias("total"))
-    exact = df.join(F.broadcast(found), [field, value], "left_semi").groupBy(field, value).agg(F.count("*").alias("n"))
+    counts = stored(df.groupBy(field, value).agg(F.count("*").alias("n")))
+    totals = counts.groupBy(field).agg(F.sum("n").alias("total"))
+    exact = counts.join(F.broadcast(found), [field, value], "left_semi")
     return exact.join(F.broadcast(totals), field).where(F.col("n") >= F.col("total") * F.lit(share))
 
 

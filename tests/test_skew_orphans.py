@@ -28,6 +28,12 @@ def test_select_ranks_ties_nulls_and_empty(spark):
     rows = spark.createDataFrame([("a", 5), ("a", 5), ("a", -9), ("a", None), (None, 1), ("b", 2**62)], "k string, v long")
     got = skew.select_ranks(rows, ["k"], "v", F.sequence(F.lit(1), F.col("n")), bits=3).collect()
     assert sorted((r.k, r.rank, r.value) for r in got) == [("a", 1, -9), ("a", 2, 5), ("a", 3, 5), ("b", 1, 2**62)]
+    kept, skew.BROADCAST_TARGETS = skew.BROADCAST_TARGETS, 0  # the same beyond the bound
+    try:
+        again = skew.select_ranks(rows, ["k"], "v", F.sequence(F.lit(1), F.col("n")), bits=3).collect()
+    finally:
+        skew.BROADCAST_TARGETS = kept
+    assert sorted(again) == sorted(got)
     assert skew.select_ranks(rows.limit(0), ["k"], "v", F.array(F.lit(1))).count() == 0
 
 
@@ -58,6 +64,7 @@ def test_orphans(spark):
     for share in (0.005, 0.3):
         got = sorted((r.row_id, r.period, r.reason) for r in orphans.orphan_rows(refs, targets, True, share).collect())
         assert got == [("2", "2019-12", "late"), ("3", "unknown", "missing")]
+        assert got == sorted((r.row_id, r.period, r.reason) for r in orphans.orphan_rows(refs, targets, True, share, broadcast_rows=0).collect())
         counts = sorted((r.period, r.reason, r.refs, r["keys"]) for r in orphans.orphan_counts(refs, targets, True, share).collect())
         assert counts == [("2019-12", "late", 1, 1), ("unknown", "missing", 2, 1)]
     assert orphans.orphan_rows(refs.limit(0), targets, True).count() == 0
