@@ -551,7 +551,7 @@ def link(names: DataFrame, key: str = "entity_id", name: str = "name", lexicon_s
     ends = near_words(words.select("word"))
     rank = lambda side: F.struct(F.col(f"n_{side}"), F.col(side))
     ends = ends.join(words.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a").join(words.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b")
-    anchors = ends.select(F.when(rank("a") < rank("b"), F.col("a")).otherwise(F.col("b")).alias("word"), F.when(rank("a") < rank("b"), F.col("b")).otherwise(F.col("a")).alias("anchor"))
+    anchors = stored(ends.select(F.when(rank("a") < rank("b"), F.col("a")).otherwise(F.col("b")).alias("word"), F.when(rank("a") < rank("b"), F.col("b")).otherwise(F.col("a")).alias("anchor")))
     # names under the rarer word of a near pair also look under its anchor, and are filed there for those that only look
     moved = join_split(entries, anchors, "word", "h").select("h", F.col("anchor").alias("word"), F.filter("own", lambda part: ~part.rlike("^[foc]")).alias("own"), "look", F.lit(True).alias("moved"))
     placed = entries.select("h", "word", "own", "look", F.lit(False).alias("moved")).unionByName(moved)
@@ -640,4 +640,4 @@ def pairs(groups: DataFrame, key: str = "entity_id") -> DataFrame:
     several = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
     rows = groups.join(several, "group", "left_semi")
     a, b = rows.select("group", F.col(key).alias(f"{key}_a")), rows.select("group", F.col(key).alias(f"{key}_b"))
-    return a.join(b, "group").where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b")
+    return join_split(a, b, "group", f"{key}_a").where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b")
