@@ -1,9 +1,10 @@
 """Text decoded with a wrong character encoding, found and restored.
 
 Every distinct clean word of the corpus is written in all garbled forms that known chains of wrong decodings give; the
-corpus tokens are hash-joined with these forms. A match whose original is the more frequent word is evidence, and names
-the chain of its row. In such a row a two-state Viterbi pass over the tokens finds where the garbled passage runs (words
-the corpus does not know elsewhere included), and the chain is undone there, strictly, byte by byte.
+corpus tokens are hash-joined with these forms. A match whose original is the more frequent word is verified: its row
+takes the original in its place. Words that occur only garbled (names, for the most part) have no entry in that table;
+between and beside verified ones a two-state Viterbi pass finds how far the garbled passage runs, and undoes the chain
+there, strictly, byte by byte.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut, ship
+from millrace.session import ship, stored
 
 # Chains of wrong decodings, as (encoding the bytes were in, encoding they were read in) per step.
 CHAINS = {
@@ -40,6 +41,7 @@ CLEAN = rf"^«?[{_UPPER}]?[{_LOWER}'’ʼ-]+»?$|^«?[{_UPPER}'’ʼ-]+»?$"
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Rows up to which a side of a join is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+_BLANKS = str.maketrans("\n\r\t", "   ", _PUNCTUATION)
 _DROP = {ord(c): None for c in _PUNCTUATION + "\n\r\t"}
 #: Letters that prove a garbled word at least.
 LEAST_LETTERS = 4
@@ -154,13 +156,16 @@ class Restorer:
         word = f" {word} "
         return sum(self.model.get(word[k : k + 2], -14.0) for k in range(len(word) - 1))
 
-    def __call__(self, text: str, chain: str) -> str:
+    def __call__(self, text: str, chain: str, verified: frozenset[str] = frozenset()) -> str:
+        """The text with the chain undone; ``verified`` tokens are replaced by their originals, what else is is decided here."""
         parts = text.split(" ")
         states = [(0.0, None), (SWITCH, None)]  # cost and path: as it stands, garbled
         for part in parts:
             form = part if part.isascii() else restore(part, chain)
             stands = -self._score(part)
             garbled = math.inf if form is None else -self._score(form)
+            if form is not None and form != part and not verified.isdisjoint(token for token in part.translate(_BLANKS).split(" ")):
+                stands = math.inf
             a, b = states
             stay = min((a[0], 0, a), (b[0] + SWITCH, 1, b), key=lambda x: x[0])
             into = min((b[0], 1, b), (a[0] + SWITCH, 0, a), key=lambda x: x[0])
@@ -178,43 +183,47 @@ def lost(text: Column) -> Column:
     return text.contains("�") | text.rlike(r"\?{4,}|(?:^|[\s«(\"])\?+[»)\",;:]*\s+(?:№?\s*[\d/.,]+\s+)?[«(\"]?\?+(?:[\s».,;:)\"-]|$)")
 
 
-def _bounded(side: DataFrame) -> DataFrame:
-    """A checkpointed side of a join, broadcast if it is small."""
-    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+def _bounded(side: DataFrame, broadcast_rows: int) -> DataFrame:
+    """A stored side of a join, with its rows counted as ``n``, broadcast if it is small."""
+    return F.broadcast(side) if side.seen["n"] <= broadcast_rows else side
 
 
-def restored(values: DataFrame) -> DataFrame:
+def restored(values: DataFrame, least_letters: int = LEAST_LETTERS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(field, row_id, restored) of every garbled value; ``values``: field, row_id, text.
 
     ``restored`` is the whole original value, or null where substitutes replaced letters, which are lost. Clean, empty and
     null values give no row; repeated rows repeat their result. (field, row_id) should name one row. All statistics cover
-    all values; the garbled forms are joined by a shuffle, as
-    neither side has a bound; matches go back to their rows by broadcast up to BROADCAST_ROWS, by a shuffle beyond.
+    all values; the garbled forms are joined by a shuffle, as neither side has a bound; matches go back to their rows by
+    broadcast up to ``broadcast_rows``, by a shuffle beyond. A row whose verified words have fewer than ``least_letters`` letters
+    together under a chain stays as it is.
     """
     ship(values.sparkSession)
     gone = lost(F.col("text"))
     exploded = values.where(F.col("text").rlike(r"[^\x00-\x7f]") & ~gone).select("field", "row_id", F.explode(tokens(F.col("text"))).alias("token"))
-    counted = cut(exploded.groupBy("token").agg(F.count("*").alias("n")))
+    counted = stored(exploded.groupBy("token").agg(F.count("*").alias("n")))
     clean = counted.where(F.col("token").rlike(CLEAN))
     # both sides go by a 64-bit hash; what a collision might let in is undone strictly later or not at all
     matched = _forms(clean).select(F.xxhash64("token").alias("h"), "chain", "letters", "word_n").join(counted.select(F.xxhash64("token").alias("h"), "n"), "h").where(F.col("word_n") > F.col("n"))
     # of several readings of a token under one chain the most frequent word proves it
     evidence = matched.groupBy("h", "chain").agg(F.max(F.struct("word_n", "letters")).alias("best")).select("h", "chain", F.col("best.letters").alias("letters"), F.col("best.word_n").alias("weight"))
-    evidence = _bounded(cut(evidence))
+    evidence = _bounded(stored(evidence, n=F.count("*")), broadcast_rows)
     model = _bigrams(clean.where("n > 1").withColumn("h", F.xxhash64("token")).join(evidence.select("h"), "h", "left_anti"))
-    rows = exploded.select("field", "row_id", F.xxhash64("token").alias("h")).join(evidence, "h").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"))
-    rows = rows.where(F.col("letters") >= LEAST_LETTERS).groupBy("field", "row_id").agg(F.sort_array(F.collect_list(F.struct("letters", "weight", "chain")), asc=False)["chain"].alias("chains"))
-    pending = values.join(_bounded(cut(rows)), ["field", "row_id"]).select("field", "row_id", "text", "chains")
+    # a few letters that would do for an abbreviation are evidence, but not replaced without a look at what stands beside them
+    sure = ~F.col("token").rlike(CLEAN) | (F.length("token") >= LEAST_LETTERS)
+    rows = exploded.withColumn("h", F.xxhash64("token")).join(evidence, "h").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"), F.collect_set(F.when(sure, F.col("token"))).alias("tokens"))
+    rows = rows.where(F.col("letters") >= least_letters).groupBy("field", "row_id").agg(F.sort_array(F.collect_list(F.struct("letters", "weight", "chain", "tokens")), asc=False).alias("found"))
+    rows = rows.select("field", "row_id", F.col("found.chain").alias("chains"), F.col("found.tokens").alias("tokens"))
+    pending = values.join(_bounded(stored(rows, n=F.count("*")), broadcast_rows), ["field", "row_id"]).select("field", "row_id", "text", "chains", "tokens")
     names = list(CHAINS)
 
     def undo(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fix = Restorer(model)
         for batch in batches:
             kept = []
-            for field, row_id, text, chains in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for field, row_id, text, chains, tokens_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 done = text
-                for chain in chains:
-                    done = fix(done, names[chain])
+                for chain, own in zip(chains, tokens_, strict=True):
+                    done = fix(done, names[chain], frozenset(own))
                 if done != text:
                     kept.append((field, row_id, done))
             columns = list(zip(*kept, strict=True)) or [[], [], []]
