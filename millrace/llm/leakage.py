@@ -14,6 +14,7 @@ import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.confusables import skeleton
-from millrace.session import ship
+from millrace.session import ship, stored
 
 #: Words per shard; bounds a worker's index to about 100 bytes a word.
 SHARD_WORDS = 400_000
-#: Test items searched in one pass; more items take more passes.
-BLOCK_ITEMS = 2_000
+#: Characters of test items that are sent to workers at once; more items take more passes, each written before the next.
+BLOCK_CHARS = 32_000_000
 #: Every SAMPLE-th suffix position is kept.
 SAMPLE = 4
 _NOT_WORD = re.compile(r"[^\w№]+|_")
@@ -43,26 +44,52 @@ def plain_words(text: str) -> list[str]:
     return [w for w in map(plain_word, text.split()) if w]
 
 
+class Bits:
+    """A packed bit sequence and how many ones lie before a place: 0.2 bytes a bit."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.packbits(bits, bitorder="little")
+        self.words = np.concatenate((packed, np.zeros(16 - len(packed) % 8, np.uint8))).view(np.uint64)
+        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words[:-1]), dtype=np.int32)))
+        self.ones = int(self.before[-1])
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        word = at >> 6
+        return self.before[word] + np.bitwise_count(self.words[word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)))
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
 class WaveletMatrix:
-    """Ranks of symbols in a sequence: how often c occurs before a position."""
+    """A sequence of symbols as bit levels: ranks of symbols, that is how often c occurs before a place, and the symbols."""
 
     def __init__(self, symbols: np.ndarray, bits: int):
-        self.bits, self.ones, self.zeros = bits, [], []
+        self.bits, self.levels, self.zeros = bits, [], []
         for level in range(bits - 1, -1, -1):
-            bit = (symbols >> level) & 1
-            self.ones.append(np.concatenate(([0], np.cumsum(bit, dtype=np.int32))))
-            self.zeros.append(int(len(bit) - bit.sum()))
-            symbols = np.concatenate((symbols[bit == 0], symbols[bit == 1]))
+            bit = ((symbols >> level) & 1).astype(bool)
+            self.levels.append(Bits(bit))
+            self.zeros.append(len(bit) - self.levels[-1].ones)
+            symbols = np.concatenate((symbols[~bit], symbols[bit]))
 
     def rank(self, c: np.ndarray, at: np.ndarray) -> np.ndarray:
         low, high = np.zeros_like(at), at
         for k, level in enumerate(range(self.bits - 1, -1, -1)):
             one = ((c >> level) & 1).astype(bool)
-            ones = self.ones[k]
-            low_one, high_one = ones[low], ones[high]
+            low_one, high_one = self.levels[k].rank(low), self.levels[k].rank(high)
             low, high = np.where(one, self.zeros[k] + low_one, low - low_one), np.where(one, self.zeros[k] + high_one, high - high_one)
         return high - low
 
+    def step(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols at places, and how often each occurs before its place."""
+        c, low, high = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), at
+        for bits, zeros in zip(self.levels, self.zeros, strict=True):
+            one = bits.get(high)
+            low_one, high_one = bits.rank(low), bits.rank(high)
+            low, high = np.where(one, zeros + low_one, low - low_one), np.where(one, zeros + high_one, high - high_one)
+            c = c << 1 | one
+        return c, high - low
+
 
 def suffix_order(words: np.ndarray, bits: int) -> np.ndarray:
     """Suffixes in order; 0 is a separator, smaller than all words, and two separators compare by position."""
@@ -104,10 +131,9 @@ class FMIndex:
         before = words[order - 1]
         before[order == 0] = 0
         self.tree = WaveletMatrix(before, self.bits)
-        self.before = before
         self.first = np.concatenate(([0], np.cumsum(np.bincount(words, minlength=symbols + 1))))
         kept = (order % SAMPLE == 0) | (before == 0)  # a walk back never has to cross a separator
-        self.position = np.where(kept, order, -1)
+        self.kept, self.position = Bits(kept), order[kept].astype(np.int32)
         self.n = len(words)
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,18 +145,15 @@ class FMIndex:
         return low, np.maximum(low, high)
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
-        at, steps = self.position[rows], np.zeros(len(rows), np.int64)
-        open_ = np.flatnonzero(at < 0)
-        walk = rows[open_]
+        """Places of rows: each walks back by one word until a row whose place is kept."""
+        at, open_, walk, steps = np.zeros(len(rows), np.int64), np.arange(len(rows)), rows, 0
         while len(open_):
-            c = self.before[walk]
-            walk = self.first[c] + self.tree.rank(c, walk)
-            steps[open_] += 1
-            got = self.position[walk]
-            done = got >= 0
-            at[open_[done]] = got[done]
-            open_, walk = open_[~done], walk[~done]
-        return at + steps
+            done = self.kept.get(walk)
+            at[open_[done]] = self.position[self.kept.rank(walk[done])] + steps
+            open_, walk, steps = open_[~done], walk[~done], steps + 1
+            c, before = self.tree.step(walk)
+            walk = self.first[c] + before
+        return at
 
 
 class Items:
@@ -265,24 +288,30 @@ def search_shard(docs: list[list[int]], items: Items, keep: float) -> Iterator[t
         yield d, i, a, z
 
 
-def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", run: int = 14, keep: float = 2 / 3) -> DataFrame:
+def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", run: int = 14, keep: float = 2 / 3, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(key, item, start, end): merged character spans of each document that hold an item wholly or partly.
 
-    A span holds ``run`` consecutive words of the item, or a passage that keeps ``keep`` of all its words in order. Null and empty texts hold and are nothing; items are searched in blocks of BLOCK_ITEMS against every row, so
-    what is sent to workers is bounded; repeated rows give repeated results.
+    A span holds ``run`` consecutive words of the item, or a passage that keeps ``keep`` of all its words in order. Null and
+    empty texts hold and are nothing; repeated rows give repeated results. Items of up to BLOCK_CHARS characters are
+    searched in one pass over the texts; more take a pass for each such block, whose result is stored before the next
+    block is read, so neither workers nor driver hold more than a block.
     """
-    ship(docs.sparkSession)
-    tests = items.where(F.col(item_text).isNotNull()).select(item, item_text).orderBy(item)
-    parts = []
-    rows = iter(tests.toLocalIterator())
-    while block := [r for _, r in zip(range(BLOCK_ITEMS), rows, strict=False)]:
-        parts.append(_leaked_block(docs, Items([(r[0], r[1]) for r in block], run), key, text, item, items.schema[item].dataType.simpleString(), keep))
-    if not parts:
-        return docs.select(key).limit(0).selectExpr(f"`{key}`", f"cast(null as {items.schema[item].dataType.simpleString()}) as `{item}`", "cast(0 as int) as start", "cast(0 as int) as end")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    spark = docs.sparkSession
+    ship(spark)
+    tests = items.where(F.col(item_text).isNotNull()).select(item, item_text)
+    sizes = tests.agg(F.count("*").alias("n"), F.sum(F.length(item_text)).alias("chars")).first()
+    search = lambda rows: _leaked_block(docs, Items(rows, run), key, text, item, items.schema[item].dataType.simpleString(), keep)
+    if (sizes["chars"] or 0) <= block_chars:
+        return search(sorted((tuple(r) for r in tests.collect()), key=lambda r: r[0]))
+    parts, held, chars = [], [], 0
+    for row in tests.orderBy(item).toLocalIterator():
+        if held and chars + len(row[1]) > block_chars:
+            parts.append(stored(search(held)))
+            held, chars = [], 0
+        held.append(tuple(row))
+        chars += len(row[1])
+    parts.append(stored(search(held)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _leaked_block(docs: DataFrame, block: Items, key: str, text: str, item: str, item_type: str, keep: float) -> DataFrame:

@@ -133,6 +133,7 @@ def test_leaked(spark):
     items = spark.createDataFrame([(7, " ".join(ITEM)), (8, "коротко"), (9, None), (10, "")], "item_id long, text string")
     got = leakage.leaked(docs, items)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(k, 7) for k in (1, 2, 4, 5, 6, 9, 10, 11)}
+    assert sorted(leakage.leaked(docs, items, block_chars=5).collect()) == sorted(got.collect())  # a block for each item
     span = next(r for r in got.collect() if r.doc_id == 2)
     text = dict((k, t) for k, t, _ in rows)[2]
     assert text[span.start : span.end].split() == ITEM[10:24]
