@@ -1,27 +1,24 @@
-"""Personal data in free text: found, and replaced by typed placeholders or by keyed surrogates.
+"""Personal data in free text, found and replaced by typed placeholders; ``surrogates`` replaces it by keyed surrogates.
 
 Addresses, mail addresses, phone and identity numbers are anchored patterns. Names are capitalised words next to a patronymic,
 to initials, or to a given name; the given names are counted in the corpus itself (words written between a surname and a
-patronymic). A surrogate keeps type, gender ending, script, letter case and format of what it replaces. Surrogates are drawn
-by a keyed hash per distinct word or number of the corpus, and drawn again where two would meet, so what differs stays different
-and what recurs stays the same.
+patronymic). One pass over the texts writes down what may be personal data, whatever the given names; another over these
+candidates, not the texts, decides.
 """
 
 from __future__ import annotations
 
-import hashlib
-import hmac
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut, ship
+from millrace.session import ship, stored
 
-#: A given name stands before a patronymic in this share of all such places at least; so at most 1 / share are kept.
-GIVEN_SHARE = 5e-4
+#: A given name stands before a patronymic in this share of all such places at least, and twice; so at most 1 / share are kept.
+GIVEN_SHARE = 2e-5
 _UP, _LOW = "А-ЯЄІЇҐ", "а-яєіїґ"
 _CAP = rf"[{_UP}](?:['’ʼ][{_LOW}]+|[{_LOW}]+(?:['’ʼ][{_LOW}]+)?)(?:-[{_UP}][{_LOW}'’ʼ]+)?"
 _ALL = rf"[{_UP}][{_UP}'’ʼ-]+"
@@ -37,17 +34,22 @@ IDNUM = [
     re.compile(r"(?<!\d)(\d{8}-\d{5})(?!\d)"),
 ]
 _PLACE = rf"[{_UP}][{_LOW}'’ʼ-]+(?:{_GAP}[{_UP}][{_LOW}'’ʼ-]+)*"
-_STREET = rf"(?:вул\.|вулиц[яіюею]+|просп\.|пр-т|проспект\w*|бульв\.|бульвар\w*|пров\.|провул\w+|пл\.|площ[аіуею]+|шосе|наб\.|набережн\w+|майдан\w*)\s*(?:\d+{_GAP})?{_PLACE}"
-ADDRESS = re.compile(rf"(?:(?<!\d)\d{{5}},\s*)?(?:(?<![{_LOW}{_UP}])(?:м\.|місто|с\.|село|смт\.?|селище|с-ще)\s*{_PLACE},\s*)?{_STREET},?\s*(?:(?:буд\.|будин\w+|б\.)\s*)?\d+(?:/\d+|-?[{_UP}{_LOW}](?![{_LOW}{_UP}]))?(?:,\s*(?:кв\.|квартир\w+|оф\.|офіс\w*)\s*\d+)?")
+_STREET = rf"(?:вул\.|вулиц[яіюею]+|просп\.|пр-т|проспект\w*|бульв\.|бульвар\w*|пров\.|провул\w+|пл\.|площ[аіуею]+|шосе|наб\.|набережн\w+|майдан\w*|проїзд\w*|туп\.|тупик\w*|узв\.|узв[оі]з\w*|але[яїюєю]+)\s*(?:\d+{_GAP})?{_PLACE}"
+_FLAT = r"(?:кв\.?|квартир\w+|оф\.?|офіс\w*)\s*\d+"
+ADDRESS = re.compile(rf"(?:(?<!\d)\d{{5}},\s*)?(?:(?<![{_LOW}{_UP}])(?:м\.|місто|с\.|село|смт\.?|селище|с-ще)\s*{_PLACE},\s*)?{_STREET},?\s*(?:(?:буд\.|будин\w+|б\.)\s*)?\d+(?:/\d+|-?[{_UP}{_LOW}](?![{_LOW}{_UP}])|{_GAP}[{_UP}{_LOW}](?=,\s*{_FLAT}))?(?:,?\s*(?:корп\.|корпус\w*)\s*\d+)?(?:,\s*{_FLAT})?")
 STREET = re.compile(_STREET)
 _PATRONYMIC = rf"(?:[{_UP}][{_LOW}'’ʼ]+(?:ович|евич|лліч|ьич)(?:а|у|ем|еві|ові|і)?|[{_UP}][{_LOW}'’ʼ]+(?:івн|ївн|овн|евн|ичн)(?:а|и|і|у|ою)|[{_UP}'’ʼ]+(?:ОВИЧ|ЕВИЧ|ЛЛІЧ)(?:А|У|ЕМ|ЕВІ|ОВІ|І)?|[{_UP}'’ʼ]+(?:ІВН|ЇВН|ОВН|ИЧН)(?:А|И|І|У|ОЮ)|[A-Z][a-z]+(?:ovych|iovych|evych|ivna|yivna|iivna)|[A-Z]+(?:OVYCH|EVYCH|IVNA))(?![{_LOW}{_UP}a-z])"
+PATRONYMIC = re.compile(_PATRONYMIC)
 _START = rf"(?<![{_UP}{_LOW}A-Za-z'’ʼ_-])"
 FULL = re.compile(rf"{_START}(?:({_WORD}){_GAP})?({_WORD}){_GAP}({_PATRONYMIC})(?:{_GAP}({_WORD})(?![{_LOW}]))?")
 INITIALS = re.compile(rf"{_START}(?:({_WORD}){_GAP}(?:[{_UP}A-Z]\.\s?[{_UP}A-Z]\.)|(?:[{_UP}A-Z]\.\s?[{_UP}A-Z]\.)\s?({_WORD}))")
+ONE = re.compile(rf"{_START}({_WORD}){_GAP}[{_UP}A-Z]\.(?![{_UP}{_LOW}A-Za-z]|\s?[{_UP}A-Z]\.)")
 PAIR = re.compile(rf"(?={_START}({_WORD}){_GAP}({_WORD})(?![{_LOW}a-z'’ʼ-]))")
 TYPES = ("EMAIL", "PHONE", "IDNUM", "ADDRESS", "NAME")
 # Words of role or title that start a sentence before a name.
 ROLES = frozenset("заявник заявниця позивач позивачка відповідач відповідачка боржник боржниця боржником стягувач скаржник апелянт суддя свідок свідками представник громадянин громадянка гр експерт директор секретар прокурор адвокат нотаріус обвинувачений потерпілий третя особа пан пані".split())
+# Given names of Polish and English texts.
+FOREIGN_GIVEN = frozenset("jan anna piotr maria krzysztof andrzej tomasz stanisław stanislaw marek michał michal grzegorz józef jozef jerzy tadeusz adam łukasz lukasz zbigniew ryszard kazimierz katarzyna małgorzata malgorzata agnieszka krystyna barbara ewa elżbieta elzbieta zofia teresa magdalena joanna janina monika danuta jadwiga aleksandra john james robert william mary patricia jennifer elizabeth".split())
 # Cyrillic letters in Latin by the national table.
 LATIN_OF = dict(zip("абвгґдеєжзиіїйклмнопрстуфхцчшщьюя'’ʼ", ["a", "b", "v", "h", "g", "d", "e", "ie", "zh", "z", "y", "i", "i", "i", "k", "l", "m", "n", "o", "p", "r", "s", "t", "u", "f", "kh", "ts", "ch", "sh", "shch", "", "iu", "ia", "", "", ""], strict=True))
 
@@ -56,75 +58,118 @@ def latin(word: str) -> str:
     return "".join(LATIN_OF.get(c, c) for c in word.lower())
 
 
+def candidates(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of everything that may be personal data or shields what may not, in order of precedence.
+
+    Kinds are the sure types, "" for what is none (streets without a number, quotations), and FULL, INITIALS, PAIR and ONE for
+    names that the given names of the corpus, or other names of the text, decide on.
+    """
+    found = []
+    if "@" in text or "(" in text or "[" in text or "{" in text:
+        found += [("EMAIL", *m.span()) for m in EMAIL.finditer(text)]
+    found += [("ADDRESS", *m.span()) for m in ADDRESS.finditer(text)]
+    found += [("", *m.span()) for m in STREET.finditer(text)]
+    found += [("IDNUM", *m.span(1)) for pattern in IDNUM for m in pattern.finditer(text)]
+    found += [("PHONE", *m.span()) for m in PHONE.finditer(text)]
+    found += [("", *m.span()) for m in _QUOTED.finditer(text)]
+    found += [("FULL", *m.span()) for m in FULL.finditer(text)]
+    found += [("INITIALS", *m.span()) for m in INITIALS.finditer(text)]
+    found += [("PAIR", m.start(1), m.end(2)) for m in PAIR.finditer(text)]
+    return found + [("ONE", *m.span()) for m in ONE.finditer(text)]
+
+
+_QUOTED = re.compile(r"«[^»\n]*»|\"[^\"\n]*\"")
+_SPLIT = re.compile(rf"({_WORD}){_GAP}({_WORD})")
+_CASE = re.compile(r"(?:ого|ому|ою|ею|ові|еві|ем|ом|им|ими|ій|ий|а|у|ю|і|ї|и|я|о|й|ь|е)?$")
+
+
 class Finder:
     """Finds passages of personal data; ``given``: lower-case given names in any case form, of any script."""
 
     def __init__(self, given: set[str]):
-        self.given = given | {latin(g) for g in given}
+        self.given = given | {latin(g) for g in given} | FOREIGN_GIVEN
 
     def __call__(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, type) of passages that do not overlap, in order."""
-        found: list[tuple[int, int, str]] = []
-        taken = bytearray(len(text))
+        return self.decide([(kind, a, z, text[a:z]) for kind, a, z in candidates(text)])
 
-        def take(start: int, end: int, kind: str | None) -> None:
+    def decide(self, found: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
+        """(start, end, type) by candidates (kind, start, end, passage); an earlier one keeps out those that overlap it."""
+        out: list[tuple[int, int, str]] = []
+        taken = bytearray(max((z for _, _, z, _ in found), default=0))
+        surnames: set[str] = set()
+
+        def take(start: int, end: int, kind: str) -> None:
             if end > start and not any(taken[start:end]):
                 taken[start:end] = b"\x01" * (end - start)
                 if kind:
-                    found.append((start, end, kind))
-
-        if "@" in text or "(" in text or "[" in text or "{" in text:
-            for m in EMAIL.finditer(text):
-                take(*m.span(), "EMAIL")
-        for m in ADDRESS.finditer(text):
-            take(*m.span(), "ADDRESS")
-        for m in STREET.finditer(text):
-            take(*m.span(), None)
-        for pattern in IDNUM:
-            for m in pattern.finditer(text):
-                take(*m.span(1), "IDNUM")
-        for m in PHONE.finditer(text):
-            take(*m.span(), "PHONE")
-        for m in re.finditer(r"«[^»\n]*»|\"[^\"\n]*\"", text):
-            take(*m.span(), None)
-        self._names(text, take)
-        return sorted(found)
-
-    def _names(self, text: str, take) -> None:
-        for m in FULL.finditer(text):
-            before, _, _, after = m.groups()
-            if after and (not before or before.lower() in ROLES or self._known(before) or not self._known(m[2])):
-                take(m.start(2), m.end(4), "NAME")
-            elif before and before.lower() not in ROLES:
-                take(m.start(1), m.end(3), "NAME")
-            else:
-                take(m.start(2), m.end(4) if after else m.end(3), "NAME")
-        for m in INITIALS.finditer(text):
-            word = m[1] or m[2]
-            if word.lower() not in ROLES:
-                take(*m.span(), "NAME")
-        for m in PAIR.finditer(text):
-            first, second = m.groups()
-            if self._known(first) and second.lower() not in ROLES and not self._known(second):
-                take(m.start(1), m.end(2), "NAME")
-            elif self._known(second) and first.lower() not in ROLES and not self._known(first):
-                take(m.start(1), m.end(2), "NAME")
+                    out.append((start, end, kind))
+
+        for kind, a, z, passage in found:
+            if kind not in ("FULL", "INITIALS", "PAIR", "ONE"):
+                take(a, z, kind)
+            elif kind == "FULL":
+                m = FULL.fullmatch(passage)
+                before, _, _, after = m.groups()
+                surnames |= {self._stem(w) for w in (before, after) if w}
+                if after and (not before or before.lower() in ROLES or self._known(before) or not self._known(m[2])):
+                    take(a + m.start(2), a + m.end(4), "NAME")
+                elif before and before.lower() not in ROLES:
+                    take(a + m.start(1), a + m.end(3), "NAME")
+                else:
+                    take(a + m.start(2), a + (m.end(4) if after else m.end(3)), "NAME")
+            elif kind == "INITIALS":
+                m = INITIALS.fullmatch(passage)
+                word = m[1] or m[2]
+                if word.lower() not in ROLES:
+                    surnames.add(self._stem(word))
+                    take(a, z, "NAME")
+            elif kind == "PAIR":
+                first, second = _SPLIT.fullmatch(passage).groups()
+                if self._known(first) and second.lower() not in ROLES and not self._known(second) or self._known(second) and first.lower() not in ROLES and not self._known(first):
+                    surnames.add(self._stem(second if self._known(first) else first))
+                    take(a, z, "NAME")
+            elif self._stem(passage.split()[0]) in surnames:  # one initial, beside a surname that the text has elsewhere
+                take(a, z, "NAME")
+        return sorted(out)
 
     def _known(self, word: str) -> bool:
         return word.lower() in self.given
 
+    @staticmethod
+    def _stem(word: str) -> str:
+        return word[: _CASE.search(word.lower()).start()].lower()
+
 
-def given_names(texts: DataFrame, text: str = "text", share: float = GIVEN_SHARE) -> set[str]:
-    """Given names as written in the corpus, at most 1 / share: words before a patronymic, counted over all texts."""
+def written_down(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, kind, start, end, passage) with a row for each text that has candidates, stored; the only pass over the texts."""
+    kind = docs.schema[key].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [m[2].lower() for t in batch.column(0).to_pylist() if t for m in FULL.finditer(t)]
+            rows = []
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = candidates(x) if x else []
+                if found:
+                    rows.append((k, *map(list, zip(*((kind, a, z, x[a:z]) for kind, a, z in found), strict=True))))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            kinds = (batch.schema.field(0).type, pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "kind", "start", "end", "passage"])
+
+    return stored(docs.select(key, text).mapInArrow(read, f"`{key}` {kind}, kind array<string>, start array<int>, end array<int>, passage array<string>"))
+
+
+def given_names(found: DataFrame, share: float = GIVEN_SHARE) -> set[str]:
+    """Given names as written in the corpus, at most 1 / ``share``: words before a patronymic, counted over all ``written_down``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [FULL.fullmatch(x)[2].lower() for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["word"])
 
-    counts = cut(texts.select(text).mapInArrow(read, "word string").groupBy("word").agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n").alias("total")).first()["total"] or 0
-    return {r["word"] for r in counts.where(F.col("n") >= max(2, total * share)).collect()}
+    full = found.select(F.explode(F.arrays_zip("kind", "passage")).alias("x")).where("x.kind = 'FULL'").select("x.passage")
+    counts = stored(full.mapInArrow(read, "word string").groupBy("word").agg(F.count("*").alias("n")), total=F.sum("n"))
+    return {r["word"] for r in counts.where(F.col("n") >= max(2, (counts.seen["total"] or 0) * share)).collect()}
 
 
 def passages(docs: DataFrame, key: str, text: str = "text", given: set[str] | None = None) -> DataFrame:
@@ -133,24 +178,39 @@ def passages(docs: DataFrame, key: str, text: str = "text", given: set[str] | No
     Null and empty texts give none; texts are read whole; repeated rows repeat their passages; other columns are not read.
     """
     ship(docs.sparkSession)
-    names = given_names(docs, text) if given is None else given
-    kind = docs.schema[key].dataType.simpleString()
+    found = written_down(docs, key, text)
+    return decided(found, key, given_names(found) if given is None else given)
+
+
+def decided(found: DataFrame, key: str, given: set[str]) -> DataFrame:
+    """The passages, as in ``passages``, of what is ``written_down``."""
+    kind = found.schema[key].dataType.simpleString()
+    sent = found.sparkSession.sparkContext.broadcast(given)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Finder(names)
+        find = Finder(sent.value)
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            out = [(k, a, z, t, x[a:z]) for k, x in zip(keys, batch.column(1).to_pylist(), strict=True) if x for a, z, t in find(x)]
-            columns = list(zip(*out, strict=True)) or [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.string()), pa.array(columns[4], pa.string())], [key, "start", "end", "pii_type", "pii_text"])
+            rows = []
+            for k, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts = list(zip(*lists, strict=True))
+                spans = {}
+                for _, a, _, x in parts:  # the longest candidate from each start holds what is decided there
+                    if len(x) > len(spans.get(a, "")):
+                        spans[a] = x
+                for a, z, t in find.decide(parts):
+                    at = a if a in spans and len(spans[a]) >= z - a else max(s for s, x in spans.items() if s <= a and s + len(x) >= z)
+                    rows.append((k, a, z, t, spans[at][a - at : z - at]))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            kinds = (batch.schema.field(0).type, pa.int32(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "start", "end", "pii_type", "pii_text"])
 
-    return docs.select(key, text).mapInArrow(read, f"`{key}` {kind}, start int, end int, pii_type string, pii_text string")
+    return found.select(key, "kind", "start", "end", "passage").mapInArrow(read, f"`{key}` {kind}, start int, end int, pii_type string, pii_text string")
 
 
 def placeholders(docs: DataFrame, text: str = "text", given: set[str] | None = None) -> DataFrame:
     """``docs`` with each passage of ``text`` replaced by [TYPE] and nothing else changed; null stays null."""
     ship(docs.sparkSession)
-    names = given_names(docs, text) if given is None else given
+    names = given_names(written_down(docs.select(F.lit(0).alias("k"), text), "k", text)) if given is None else given
 
     @F.pandas_udf("string")
     def replace(values):  # noqa: ANN001, ANN202
@@ -168,153 +228,3 @@ def placeholders(docs: DataFrame, text: str = "text", given: set[str] | None = N
         return values.map(one)
 
     return docs.withColumn(text, replace(F.col(text)))
-
-
-_UNIT = re.compile(rf"\d+|[{_UP}{_LOW}'’ʼ]+|[A-Za-z]+")
-_ENDING = re.compile(r"(?:ович|евич|івн|ївн|овн|ovych|ivn)?(?:ого|ому|ою|ею|ові|еві|ем|ом|им|ими|ій|ий|а|у|ю|і|ї|и|я|о|й|ь|е|a|u|i|y|o|e)?$")
-# Vowels and consonants surrogates are made of.
-VOWELS, CONSONANTS = {"c": "аеиіоу", "l": "aeiouy"}, {"c": "бвгдзклмнпрст", "l": "bdghklmnprst"}
-# Words of an address or a mail address that are not personal and stay.
-KEPT = frozenset("вул вулиця просп проспект бульв бульвар пров провулок пл площа шосе наб набережна буд будинок б кв квартира оф офіс м місто с село смт селище at собака".split())
-
-
-def units(pii_type: str, text: str) -> list[tuple[int, int, str]]:
-    """Parts of a passage that take a surrogate: (start, end, what identifies the part)."""
-    if pii_type in ("PHONE", "IDNUM"):
-        digits = re.sub(r"\D", "", text)
-        return [(0, len(text), f"{pii_type}:{digits[-9:] if pii_type == 'PHONE' else digits}")]
-    out = []
-    for m in _UNIT.finditer(text):
-        word = m.group()
-        if word.lower() in KEPT or (pii_type == "NAME" and len(word) == 1) or not any(c.isalnum() for c in word):
-            continue
-        if word.isdigit():
-            out.append((*m.span(), f"N{len(word)}:{word}"))
-        else:
-            stem = word[: _ENDING.search(word.lower()).start()] if pii_type != "EMAIL" else word
-            out.append((*m.span(), f"W:{(stem or word).lower()}"))
-    return out
-
-
-def draw(secret: bytes, unit: str, turn: int) -> str:
-    """The surrogate core of a unit at a turn: digits for digits, letters of the same kind for letters."""
-    kind, _, core = unit.partition(":")
-    stream = b""
-    while len(stream) < 2 * len(core) + 2:
-        stream += hmac.new(secret, f"{unit}\x00{turn}\x00{len(stream)}".encode(), hashlib.sha256).digest()
-    numbers = [stream[2 * k] * 256 + stream[2 * k + 1] for k in range(len(core))]
-    if kind != "W":
-        return "".join(str(n % 10) if k else str(n % 9 + 1) for k, n in enumerate(numbers))
-    script = "l" if core.isascii() else "c"
-    return "".join(VOWELS[script][n % 6] if c in "аеєиіїоуюяaeiouy" else CONSONANTS[script][n % len(CONSONANTS[script])] if c.isalpha() else c for c, n in zip(core, numbers, strict=True))
-
-
-def wear(original: str, unit: str, core: str) -> str:
-    """A surrogate core in the format of the part it replaces: punctuation, letter case and ending kept."""
-    kind, _, stem = unit.partition(":")
-    if kind in ("PHONE", "IDNUM"):
-        spots = [k for k, c in enumerate(original) if c.isdigit()][-len(core) :]
-        out = list(original)
-        for k, c in zip(spots, core, strict=True):
-            out[k] = c
-        return "".join(out)
-    if kind != "W":
-        return core
-    core = core + original[len(stem) :].lower()
-    return core.upper() if original.isupper() and len(original) > 1 else core.capitalize() if original[0].isupper() else core
-
-
-def _shape(unit: Column) -> Column:
-    """What all draws of a unit share: its kind, length and, of words, script and places of vowels."""
-    kind, core = F.split(unit, ":")[0], F.substring_index(unit, ":", -1)
-    places = F.regexp_replace(F.regexp_replace(core, "[аеєиіїоуюяaeiouy]", "0"), "\\p{L}", "1")
-    return F.concat_ws(":", kind, F.when(kind == "W", F.concat(F.when(core.rlike("^[\\x00-\\x7f]+$"), "l").otherwise("c"), places)).otherwise(F.length(core).cast("string")))
-
-
-def _exchanged(secret: bytes, pending: DataFrame, done: DataFrame) -> DataFrame:
-    """(unit, kind, core) of all units; those without a draw take, in keyed order, the original of the next one of their shape.
-
-    No draw equals an original, so this stays one to one. A unit left alone in its shape changes with one that has a draw: it
-    takes the draw, the other its original. One without any other of its shape takes a core of twice its length.
-    """
-
-    @F.pandas_udf("string")
-    def keyed(values):  # noqa: ANN001, ANN202
-        return values.map(lambda u: hmac.new(secret, f"{u}\x00exchange".encode(), hashlib.sha256).hexdigest())
-
-    @F.pandas_udf("string")
-    def longer(values):  # noqa: ANN001, ANN202
-        return values.map(lambda u: draw(secret, u + u.partition(":")[2], 0))
-
-    rows = pending.select("unit", F.split("unit", ":")[0].alias("kind"), F.substring_index("unit", ":", -1).alias("own"), _shape(F.col("unit")).alias("shape"), keyed("unit").alias("order"))
-    ring = Window.partitionBy("shape").orderBy("order", "unit")
-    rows = cut(rows.withColumn("taken", F.coalesce(F.lead("own").over(ring), F.first("own").over(ring))))
-    lone = rows.where("taken = own").select("unit", "kind", "own", "shape")
-    others = done.withColumn("shape", _shape(F.col("unit"))).join(lone.select("shape", "own"), "shape")
-    others = cut(others.groupBy("shape").agg(F.min_by(F.struct("unit", "core", "own"), "unit").alias("other")).select("shape", "other.*"))
-    kept = done.join(others.select("unit", F.col("own").alias("__own")), "unit", "left").select("unit", "kind", F.coalesce("__own", "core").alias("core"))
-    changed = lone.join(others.select("shape", "core"), "shape", "left").select("unit", "kind", F.coalesce("core", longer("unit")).alias("core"))
-    return kept.unionByName(rows.where("taken != own").select("unit", "kind", F.col("taken").alias("core"))).unionByName(changed)
-
-
-def surrogates(docs: DataFrame, key: str, secret: bytes, text: str = "text", most_turns: int = 40) -> DataFrame:
-    """(key, text) of every row with each passage replaced by its surrogate; null and empty texts stay, other columns go.
-
-    ``key`` must be unique. Distinct units of the corpus draw by a keyed hash; where a draw meets that of another unit or
-    an original of the same kind, all but the least unit draw again. Units that ``most_turns`` draws leave without one (of
-    short kinds the corpus may use every value) exchange their originals. So replacing is one to one over the corpus, and
-    no unit keeps its original.
-    """
-    found = cut(passages(docs, key, text))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = sorted({u for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for _, _, u in units(t, x)})
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["unit"])
-
-    pending = cut(found.select("pii_type", "pii_text").mapInArrow(split, "unit string").distinct())
-    originals = pending.select(F.split("unit", ":")[0].alias("kind"), F.substring_index("unit", ":", -1).alias("core"))
-    done = None
-    drawn: Column | None = None
-    for turn in range(most_turns):
-
-        @F.pandas_udf("string")
-        def drawing(values, turn=turn):  # noqa: ANN001, ANN202
-            return values.map(lambda u: draw(secret, u, turn))
-
-        drawn = drawing(F.col("unit"))
-        rows = pending.select("unit", F.split("unit", ":")[0].alias("kind"), drawn.alias("core")).join(originals, ["kind", "core"], "left_anti")
-        if done is not None:
-            rows = rows.join(done.select("kind", "core"), ["kind", "core"], "left_anti")
-        rows = cut(rows.withColumn("__k", F.row_number().over(Window.partitionBy("kind", "core").orderBy("unit"))).where("__k = 1").drop("__k"))
-        done = rows if done is None else done.unionByName(rows)
-        pending = cut(pending.join(rows.select("unit"), "unit", "left_anti"))
-        if pending.isEmpty():
-            break
-    if not pending.isEmpty():
-        done = cut(_exchanged(secret, pending, done))
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, s + a, s + z, x[a:z], u) for k, s, t, x in zip(*(c.to_pylist() for c in batch.columns), strict=True) for a, z, u in units(t, x)]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.string()), pa.array(columns[4], pa.string())], [key, "start", "end", "part", "unit"])
-
-    kind = docs.schema[key].dataType.simpleString()
-    placed = found.select(key, "start", "pii_type", "pii_text").mapInArrow(parts, f"`{key}` {kind}, start int, end int, part string, unit string")
-    changes = placed.join(done.select("unit", "core"), "unit").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "end", "part", "unit", "core"))).alias("__changes"))
-
-    @F.pandas_udf("string")
-    def apply(values, changes):  # noqa: ANN001, ANN202
-        def one(x, edits):  # noqa: ANN001, ANN202
-            if x is None or edits is None:
-                return x
-            out, at = [], 0
-            for e in edits:
-                out += [x[at : e["start"]], wear(e["part"], e["unit"], e["core"])]
-                at = e["end"]
-            return "".join(out) + x[at:]
-
-        return values.combine(changes, one)
-
-    return docs.select(key, text).join(changes, key, "left").select(key, apply(F.col(text), F.col("__changes")).alias(text))

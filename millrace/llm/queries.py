@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import components, confusables, garbled, leakage, names, packing, pii
+from millrace.llm import components, confusables, garbled, leakage, names, packing, pii, surrogates
 from millrace.session import table
 
 
+def _secret(spark: SparkSession) -> bytes:
+    """The key of the surrogates, spark.millrace.secret; without one a new key a session, so that surrogates can't be undone."""
+    if not (secret := spark.conf.get("spark.millrace.secret", "")):
+        spark.conf.set("spark.millrace.secret", secret := secrets.token_hex(32))
+    return secret.encode()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct passages of personal data in each record's text."""
+    """Distinct passages of personal data in each record's text, of all that surrogates replace."""
     records = table(spark, sf_dir, "edrsr_records").select("rec_id", "text")
-    return pii.passages(records, "rec_id").select("rec_id", "pii_type", "pii_text").distinct()
+    edits = surrogates.replacements(records, "rec_id", _secret(spark))
+    return edits.where("surrogate != pii_text").select("rec_id", "pii_type", "pii_text").distinct()
 
 
 def p2_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +31,8 @@ def p2_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record's text with keyed surrogates instead of personal data; the key comes from spark.millrace.secret."""
-    secret = spark.conf.get("spark.millrace.secret", "a key for tests only").encode()
-    return pii.surrogates(table(spark, sf_dir, "edrsr_records").select("rec_id", "text"), "rec_id", secret)
+    """Every record's text with keyed surrogates instead of personal data."""
+    return surrogates.surrogates(table(spark, sf_dir, "edrsr_records").select("rec_id", "text"), "rec_id", _secret(spark))
 
 
 def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:

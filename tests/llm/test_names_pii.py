@@ -3,6 +3,7 @@ import random
 import pytest
 
 from millrace.llm import names, pii
+from millrace.llm import surrogates as sur
 
 
 def test_near_against_full_table():
@@ -148,9 +149,9 @@ def test_placeholders_and_passages(spark, records):
 
 
 def test_surrogates(spark, records):
-    got = {r.rec_id: r.text for r in pii.surrogates(records, "rec_id", b"secret").collect()}
-    again = {r.rec_id: r.text for r in pii.surrogates(records, "rec_id", b"secret").collect()}
-    other = {r.rec_id: r.text for r in pii.surrogates(records, "rec_id", b"other").collect()}
+    got = {r.rec_id: r.text for r in sur.surrogates(records, "rec_id", b"secret").collect()}
+    again = {r.rec_id: r.text for r in sur.surrogates(records, "rec_id", b"secret").collect()}
+    other = {r.rec_id: r.text for r in sur.surrogates(records, "rec_id", b"other").collect()}
     assert got == again != other and got[101] is None and got[102] == ""
     assert "Запдодейко" not in got[0] and got[0].split(", ")[0].endswith("ович")
     first = [got[k].split("— ")[1].split(" ")[0] for k in range(30)]
@@ -161,11 +162,61 @@ def test_surrogates(spark, records):
 
 
 def test_surrogates_of_used_up_kinds(spark):
-    # every two-digit number, and five of the nine one-digit numbers: of these four draws are free and one unit is left alone
-    houses = [*range(10, 100), *range(1, 6)]
+    # every one- and two-digit number and every house letter is taken, so no free value is left
+    houses = [*map(str, range(1, 100)), *(f"7-{c}" for c in "АБВГҐДЕЄЖЗИІЇЙКЛМНОПРСТУФХЦЧШЩЮЯ")]
     docs = spark.createDataFrame([(k, f"мешкає: м. Рівненське, вул. Садова, буд. {n}, прибув") for k, n in enumerate(houses)], "rec_id long, text string")
-    got = {r.rec_id: r.text for r in pii.surrogates(docs, "rec_id", b"secret").collect()}
+    got = {r.rec_id: r.text for r in sur.surrogates(docs, "rec_id", b"secret").collect()}
     new = [got[k].split("буд. ")[1].split(",")[0] for k in range(len(houses))]
-    assert all(x != str(n) and len(x) == len(str(n)) for x, n in zip(new, houses, strict=True))
+    assert all(len(x) == len(n) and not set(x.split("-")) & set(n.split("-")) for x, n in zip(new, houses, strict=True))
     assert len(set(new)) == len(houses)  # still one to one
     assert len({got[k].split(", буд.")[0] for k in range(len(houses))}) == 1 and "Садова" not in got[0]
+
+
+def test_keyed_maps_are_one_to_one_and_move_everything():
+    keyed = sur.Keyed(b"secret")
+    for size in (2, 3, 9, 10, 33, 90, 1000):
+        got = [keyed.moved(k, size, "t") for k in range(size)]
+        assert sorted(got) == list(range(size)) and all(k != x for k, x in enumerate(got))
+    for name, (_, stems) in sur.POOLS.items():
+        ring = keyed.pool(name)
+        assert sorted(ring.values()) == sorted(stems.split()) and all(a != b for a, b in ring.items())
+
+
+PERSON = ["Левко Іванович Рух", "РУХ ЛЕВКО ІВАНОВИЧ", "Руха Левка Івановича", "Рух Л. І.", "Л. І. Рух", "Рух Левко", "Rukh Levko", "a_rukh77@mail.sud.example", "Сергію Івановичу Руху"]
+
+
+def test_surrogates_keep_one_identity(spark):
+    lines = [*(f"свідок {x}, слухали." for x in PERSON), *("Левко Іванович Бойчак" for _ in range(3)), *(f"паспорт НЮ64106{k}, тел. 082 429 34 9{k}; +380 (82) 429-34-9{k}" for k in range(10)), "прибули Левко Іванович Рух; також Рух Л. був."]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "rec_id long, text string")
+    got = [r.text for r in sur.surrogates(docs, "rec_id", b"secret").orderBy("rec_id").collect()]
+    first, father, last = got[0].split("свідок ")[1].split(",")[0].split(" ")
+    assert father.endswith("ович") and not {first, father, last} & set(PERSON[0].split(" "))
+    assert got[1] == f"свідок {last.upper()} {first.upper()} {father.upper()}, слухали."
+    assert got[2] == f"свідок {last}а {first[:-1]}а {father}а, слухали."
+    assert got[3] == f"свідок {last} {first[0]}. {father[0]}., слухали." and got[4] == f"свідок {first[0]}. {father[0]}. {last}, слухали."
+    assert got[5] == f"свідок {last} {first}, слухали." and got[6].split(" ")[1:3] == [pii.latin(last).capitalize(), pii.latin(first).capitalize() + ","]
+    assert got[7].split("_")[1].startswith(pii.latin(last)) and "77" not in got[7]
+    assert got[8].endswith(f"{father}у {last}у, слухали.") and "Сергію" not in got[8]
+    assert got[-1].endswith(f"також {last} {first[0]}. був.")  # one initial, told by the full name in the same text
+    for k in range(10):
+        series, a, b = got[12 + k].split("паспорт ")[1].split(",")[0], got[12 + k].split("тел. ")[1].split(";")[0], got[12 + k].split("; ")[1]
+        assert series[:2] != "НЮ" and series[2:] != f"64106{k}" and b.startswith("+380 (")
+        assert "".join(c for c in a if c.isdigit())[-9:] == "".join(c for c in b if c.isdigit())[-9:] != f"82429349{k}"
+
+
+def test_replacements_leave_nothing(spark, records):
+    rows = sur.replacements(records, "rec_id", b"secret").collect()
+    assert rows and all(r.surrogate != r.pii_text for r in rows)
+    of = {}
+    for r in rows:
+        assert of.setdefault((r.pii_type, r.pii_text), r.surrogate) == r.surrogate
+    assert len(set(of.values())) == len(of)
+    assert sur.replacements(records.limit(0), "rec_id", b"secret").count() == 0
+    with pytest.raises(ValueError, match="secret"):
+        sur.surrogates(records, "rec_id", b"")
+
+
+def test_finder_of_rarer_forms():
+    find = pii.Finder({"левко"})
+    text = "Рух Левко Іванович і Рух Л. прибули; проїзд Лісовий 5; вул. Садова, будинок 5 а, кв 3; Jan Kowalski, Anna Nowak. Додаток Б. Київ."
+    assert [text[a:z] for a, z, _ in find(text)] == ["Рух Левко Іванович", "Рух Л.", "проїзд Лісовий 5", "вул. Садова, будинок 5 а, кв 3", "Jan Kowalski", "Anna Nowak"]
