@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -139,7 +140,8 @@ def host(url: Column) -> Column:
 
 
 def has_extension(url: Column, extensions: Sequence[str]) -> Column:
-    return F.coalesce(F.lower(F.substring_index(url, "?", 1)).rlike(r"(?:" + "|".join(extensions) + r")$"), F.lit(False))
+    """Whether an address ends in one of the extensions, without its query."""
+    return F.coalesce(F.lower(F.substring_index(url, "?", 1)).rlike(r"(?:" + "|".join(map(re.escape, extensions)) + r")$"), F.lit(False))
 
 
 def slug(name: Column, most: int = 80) -> Column:
@@ -148,11 +150,16 @@ def slug(name: Column, most: int = 80) -> Column:
 
 
 def safe_file_name(name: Column, most_bytes: int = 180) -> Column:
-    """A name without path or control characters; beyond ``most_bytes`` it is cut and marked by its hash."""
-    plain = F.btrim(F.regexp_replace(collapse(name), r'[\\/:*?"<>|\x00-\x1f]+', "_"), F.lit(" ."))
-    mark = F.concat(F.lit("-"), F.substring(F.sha2(plain, 256), 1, 12))
-    cut = F.substring(plain, 1, most_bytes // 4)
-    return F.when(F.octet_length(plain) <= most_bytes, plain).otherwise(F.concat(cut, mark))
+    """A base name of Latin and Ukrainian letters, digits and ._-, other runs as one underscore, ``resource`` for none.
+
+    Beyond ``most_bytes`` UTF-8 bytes the stem is cut to the most characters that fit, marked by the whole name's hash, and keeps its extension.
+    """
+    plain = F.coalesce(F.nullif(F.btrim(F.regexp_replace(F.coalesce(name, F.lit("")), r"[^0-9A-Za-zА-Яа-яІіЇїЄєҐґ._-]+", "_"), F.lit("._")), F.lit("")), F.lit("resource"))
+    suffix = F.regexp_extract(plain, r"(?<=.)(\.[^.]+)$", 1)
+    stem = F.substring(plain, F.lit(1), F.length(plain) - F.length(suffix))
+    room = F.greatest(F.lit(16), F.lit(most_bytes - 13) - F.octet_length(suffix))
+    longest = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(most_bytes)), lambda n: F.octet_length(F.substring(stem, F.lit(1), n)) <= room))
+    return F.when(F.octet_length(plain) <= most_bytes, plain).otherwise(F.concat(F.substring(stem, F.lit(1), longest), F.lit("_"), F.substring(F.sha2(plain, 256), 1, 12), suffix))
 
 
 def checkpoint_id(*parts: Column) -> Column:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.operators.skew import select_ranks
+
+#: Queries that one search of titles may have.
+MOST_QUERIES = 1_000
 
 
 def words(text: Column) -> Column:
@@ -17,12 +23,19 @@ def words(text: Column) -> Column:
 def rank_titles(datasets: DataFrame, terms: DataFrame) -> DataFrame:
     """(query, id, score): per query the best dataset of its last term; overlap 10 a word, 20 if contained, up to 5 for resources.
 
-    ``datasets``: id, title, n_resources; ``terms``: query, ordinal, term. Terms are few, so each meets every title.
+    ``datasets``: id, title, n_resources; ``terms``: query, ordinal, term. A search is a short list of terms from one caller, so it
+    becomes one array in the plan (MOST_QUERIES at most) and every title is read once.
     """
-    last = terms.groupBy("query").agg(F.max(F.struct("ordinal", "term"))["term"].alias("term"))
-    score = 10 * F.size(F.array_intersect(words(F.col("title")), words(F.col("term")))) + F.when(F.contains(F.lower("title"), F.lower("term")), 20).otherwise(0) + F.least(F.col("n_resources"), F.lit(5))
-    scored = datasets.crossJoin(F.broadcast(last)).withColumn("score", score)
-    return scored.groupBy("query").agg(F.max_by(F.struct("id", "score"), F.struct(F.col("score"), -F.col("id"))).alias("top")).select("query", "top.id", "top.score")
+    last = terms.groupBy("query").agg(F.max(F.struct("ordinal", "term"))["term"].alias("term")).limit(MOST_QUERIES + 1).collect()
+    if len(last) > MOST_QUERIES:
+        raise ValueError(f"more than {MOST_QUERIES} queries at once")
+    score = lambda term: 10 * F.size(F.array_intersect(words(F.col("title")), words(F.lit(term)))) + F.when(F.contains(F.lower("title"), F.lower(F.lit(term))), 20).otherwise(0) + F.least(F.col("n_resources"), F.lit(5))
+    best = [F.max_by(F.struct("id", score(r["term"]).alias("score")), F.struct(score(r["term"]), -F.col("id"))).alias(f"q{k}") for k, r in enumerate(last)]
+    if not best:
+        return datasets.limit(0).select(F.lit("").alias("query"), "id", F.lit(0).alias("score"))
+    top = datasets.agg(*best)
+    rows = F.array(*[F.struct(F.lit(r["query"]).alias("query"), F.col(f"q{k}.id").alias("id"), F.col(f"q{k}.score").alias("score")) for k, r in enumerate(last)])
+    return top.select(F.explode(rows).alias("r")).select("r.*").where("id is not null")
 
 
 def page(datasets: DataFrame, offset: int, limit: int) -> DataFrame:
@@ -53,12 +66,16 @@ def sync_decisions(resources: DataFrame, prior: DataFrame, hosts: DataFrame, hal
     marks = ("hash", "last_modified", "size")
     old = prior.select(F.col("url").alias("__url"), *[F.col(c).alias(f"__{c}") for c in marks])
     rows = resources.withColumn("host", T.host(F.col("url"))).join(old, F.col("url") == F.col("__url"), "left").join(hosts.select("host", "reachable"), "host", "left")
-    before = Window.partitionBy("host").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    hits = F.coalesce(F.sum(F.when(F.col("throttled"), 1).otherwise(0)).over(before), F.lit(0))
     same = unchanged({"url": F.col("__url"), **{c: F.col(f"__{c}") for c in marks}}, {"url": F.col("url"), **{c: F.col(c) for c in marks}})
-    rows = rows.withColumn("__hits", hits)
-    decision = F.when((F.col("host") != "") & (F.col("reachable") == F.lit(False)), "blocked_unreachable").when(F.lit(halt_after > 0) & (F.col("host") != "") & (F.col("__hits") >= halt_after), "blocked_throttled").when(F.col("__url").isNotNull() & same, "skip").otherwise("download")
-    return rows.withColumn("decision", decision).drop("__url", "__hash", "__last_modified", "__size", "__hits", "reachable")
+    # a host is blocked from its halt_after-th throttled resource on; that one's place is an exact order statistic of the few throttled rows
+    if halt_after > 0:
+        hit = rows.where(F.col("throttled") & (F.col("host") != "")).select("host", F.col("ordinal").cast("long").alias("ordinal"))
+        blocked = select_ranks(hit, ["host"], "ordinal", F.array(F.lit(halt_after).cast("long"))).select("host", F.col("value").alias("__from"))
+    else:
+        blocked = hosts.limit(0).select("host", F.lit(0).cast("long").alias("__from"))
+    rows = rows.join(blocked, "host", "left")
+    decision = F.when((F.col("host") != "") & (F.col("reachable") == F.lit(False)), "blocked_unreachable").when(F.col("ordinal") > F.col("__from"), "blocked_throttled").when(F.col("__url").isNotNull() & same, "skip").otherwise("download")
+    return rows.withColumn("decision", decision).drop("__url", "__hash", "__last_modified", "__size", "__from", "reachable")
 
 
 def pending(documents: DataFrame, done: DataFrame, key: str, url: str, extensions: Sequence[str], order: str) -> DataFrame:
@@ -74,8 +91,49 @@ def last_kept(rows: DataFrame, keys: Sequence[str], order: str, most: int) -> Da
     return rows.withColumn("__k", F.row_number().over(back)).where(F.col("__k") <= most).drop("__k")
 
 
-def progress(done: Column, count: Column, fingerprint: Column, old_fingerprint: Column) -> Column:
-    """Sorted distinct finished numbers, emptied if the catalog changed or a number lies outside it."""
-    clean = F.sort_array(F.array_distinct(done))
-    bad = F.exists(clean, lambda i: (i < 0) | (i >= count)) | (fingerprint != old_fingerprint)
+def progress(done: Column, count: Column, fingerprint: Column, old_count: Column, old_fingerprint: Column) -> Column:
+    """Sorted distinct finished numbers, emptied if the catalog or its number of batches changed or was not known, or a number lies outside."""
+    clean = F.sort_array(F.array_distinct(F.coalesce(done, F.array().cast("array<int>"))))
+    bad = F.exists(clean, lambda i: i.isNull() | (i < 0) | (i >= count)) | ~old_count.eqNullSafe(count) | ~old_fingerprint.eqNullSafe(fingerprint)
     return F.when(bad, F.array().cast("array<int>")).otherwise(clean)
+
+
+def fingerprint(datasets: DataFrame, order: str = "ordinal") -> str:
+    """SHA-256 of the catalog's identities in order: of each dataset the id, else the name, else ''. A catalog is a driver's list."""
+    ids = [r[0] for r in datasets.orderBy(order).select(F.coalesce(F.nullif("id", F.lit("")), F.nullif("name", F.lit("")), F.lit(""))).collect()]
+    return hashlib.sha256(json.dumps(ids, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
+
+
+def curated(datasets: DataFrame, only: str | None = None) -> DataFrame:
+    """The enabled datasets, ``only`` one id if asked, each with its http(s) addresses; by priority (99 if none) and id.
+
+    ``datasets``: id, enabled, priority, urls. The decisions themselves (id edrsr) have their own pipeline and are left out.
+    """
+    rows = datasets.where(F.coalesce("enabled", F.lit(True)) & (F.col("id") != "edrsr"))
+    rows = rows.where(F.col("id") == only) if only else rows
+    urls = F.filter(F.coalesce("urls", F.array().cast("array<string>")), lambda u: u.rlike("^https?://"))
+    return rows.withColumn("urls", urls).orderBy(F.coalesce("priority", F.lit(99)), "id")
+
+
+def batch_summary(decisions: DataFrame, health: DataFrame) -> DataFrame:
+    """One row: datasets, downloaded, resource_failures, blocked_resources, unreachable_hosts, throttled_hosts (sorted).
+
+    ``decisions``: files, failed and blocked arrays a dataset; ``health``: host, reachable, throttled.
+    """
+    size = lambda c: F.greatest(F.size(c), F.lit(0)).cast("long").alias(c)
+    none = F.lit(None)
+    rows = decisions.select(F.lit(1).alias("one"), size("files"), size("failed"), size("blocked"), none.cast("string").alias("host"), none.cast("boolean").alias("reachable"), none.cast("boolean").alias("throttled"))
+    rows = rows.unionByName(health.select("host", "reachable", "throttled"), allowMissingColumns=True)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    hosts = lambda cond: F.sort_array(F.collect_set(F.when(F.col("host").isNotNull() & cond, F.col("host"))))
+    return rows.agg(total("one").alias("datasets"), total("files").alias("downloaded"), total("failed").alias("resource_failures"), total("blocked").alias("blocked_resources"), hosts(~F.coalesce("reachable", F.lit(False))).alias("unreachable_hosts"), hosts(F.coalesce("throttled", F.lit(False))).alias("throttled_hosts"))
+
+
+def or_earlier(found: DataFrame, earlier: DataFrame) -> tuple[DataFrame, bool]:
+    """A fresh catalog, or the earlier one where the search found nothing; and whether it is the earlier one."""
+    return (earlier, True) if found.isEmpty() else (found, False)
+
+
+def unchanged_since(tag: str | None, earlier: str | None) -> bool:
+    """Whether a download can be skipped: the source names a version tag and it is the one taken before."""
+    return bool(tag) and tag == earlier

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.session import cut
+from millrace.session import cut, stored
 
 
 def _given(value: Column) -> Column:
@@ -65,11 +66,64 @@ def numbered(rows: DataFrame, order: str, out: str = "n") -> DataFrame:
 
 def systematic_sample(lines: DataFrame, column: str = "line", target: int = 1_600_000) -> DataFrame:
     """Every k-th line of the sorted distinct lines, k the whole number that brings about ``target`` lines."""
-    total = lines.count()
-    stride = max(1, total // target)
+    lines = stored(lines.select(column), n=F.count("*"))  # counted, ranged and sorted: read three times, made once
+    stride = max(1, lines.seen["n"] // target)
     return numbered(lines, column).where(F.col("n") % stride == 0).select(column)
 
 
+def first_rows(rows: DataFrame, order: str, most: int) -> DataFrame:
+    """The first ``most`` rows in the order of a column, as the limit of a source asks; a partition keeps ``most`` at most."""
+    return rows.orderBy(order).limit(most)
+
+
+def build(sources: Mapping[str, tuple[DataFrame, int | None]], target: int = 1_600_000, least: int = 20, most: int = 600) -> tuple[DataFrame, DataFrame]:
+    """The corpus and its counts: (line), and (source, written, lines).
+
+    ``sources`` gives by name rows (seq, line) and how many lines of it count, None for all. Empty lines do not count, lines that
+    are dropped for their length do. Lines are cleaned, each taken once over all sources, and sampled systematically;
+    the counts have each source's lines and, under '', all distinct ones and those sampled.
+    """
+    parts, counted = [], []
+    for name, (rows, limit) in sources.items():
+        given = rows.where("line is not null and line != ''")
+        given = given if limit is None else first_rows(given, "seq", limit)
+        parts.append(given.select(F.lit(name).alias("source"), T.clean_line(F.col("line"), least, most).alias("line")))
+    lines = stored(reduce(DataFrame.unionByName, parts))
+    distinct = stored(lines.where("line != ''").select("line").distinct(), n=F.count("*"))
+    corpus = stored(systematic_sample(distinct, target=target), n=F.count("*"))
+    counted = lines.groupBy("source").agg(F.count("*").alias("written"), F.count_if(F.col("line") != "").alias("lines"))
+    return corpus, counted.unionByName(lines.sparkSession.createDataFrame([("", distinct.seen["n"], corpus.seen["n"])], "source string, written long, lines long"))
+
+
+def split_validation(chunks_: DataFrame, order: str, least: int = 64, part: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(validation, training): the first max(``least``, n // ``part``) chunks in the order of a column of distinct values, and the rest."""
+    rows = stored(chunks_, n=F.count("*"))
+    most = max(least, rows.seen["n"] // part)
+    ranked = numbered(rows, order)
+    return ranked.where(F.col("n") < most).drop("n"), ranked.where(F.col("n") >= most).drop("n")
+
+
+def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
+    """Rows with a key ``shuffled`` to order them by: the same for the same seed, whatever the partitions."""
+    return rows.withColumn("shuffled", F.xxhash64(F.lit(seed), F.col(column)))
+
+
+def word_counts(lines: DataFrame, column: str = "line", least: int = 1) -> DataFrame:
+    """(word, n): how often each word between blanks occurs, at least ``least`` times."""
+    words = lines.select(F.explode(F.split(F.trim(F.col(column)), r"(?U)\s+")).alias("word")).where("word != ''")
+    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def sampled_mean(metrics: DataFrame, value: str, by: Sequence[str], draws: int = 16, seed: int = 17) -> DataFrame:
+    """(*by, mean, n): the mean of ``draws`` values drawn per group by a seeded hash of their ordinal; the draw is the operator.
+
+    Groups keep the values of their least hashes in one mergeable aggregate each.
+    """
+    drawn = Window.partitionBy(*by).orderBy(F.xxhash64(F.lit(seed), F.col("ordinal")), "ordinal")
+    rows = metrics.where(F.col(value).isNotNull()).withColumn("__k", F.row_number().over(drawn)).where(F.col("__k") <= draws)
+    return rows.groupBy(*by).agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
+
+
 def chunks(lines: DataFrame, group: str, order: str, line: str = "line", room: int = 1200) -> DataFrame:
     """(group, chunk, text): a group's lines joined in order, a chunk ends with the line that takes it over ``room``.
 

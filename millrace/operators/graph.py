@@ -72,11 +72,15 @@ def co_org(edges: DataFrame, entities: DataFrame, max_group: int = 40) -> DataFr
 
 
 def co_mentions(docs: DataFrame, key: str, items: str) -> DataFrame:
-    """(a, b, weight): items of one row's array taken in pairs (each distinct pair once a row), counted over rows."""
+    """(a, b, weight): items of one row's array taken in pairs (each distinct pair once a row), counted over rows.
+
+    Each item is a row of its own that carries what stands behind it in the array, and makes its pairs there; so a row with many
+    items is spread over as many steps and never held as the square of its length.
+    """
     arr = F.array_sort(F.array_distinct(items))
-    rows = docs.where(F.size(items) > 1).select(arr.alias("__i"))
-    pairs = F.flatten(F.transform("__i", lambda x, k: F.transform(F.slice(F.col("__i"), k + 2, F.size("__i")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    return rows.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("weight"))
+    rows = docs.where(F.size(items) > 1).select(arr.alias("__i")).select(F.posexplode("__i").alias("__k", "a"), "__i")
+    pairs = rows.select("a", F.explode(F.slice("__i", F.col("__k") + 2, F.size("__i"))).alias("b"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("weight"))
 
 
 def sits_in(records: DataFrame, person: str = "judge", place: str = "court") -> DataFrame:
@@ -147,3 +151,30 @@ def reach(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
         frontier = found.select("node")
         seen = seen.unionByName(frontier)
     return out
+
+
+def card(entities: DataFrame, mentions: DataFrame, edges: DataFrame, start: DataFrame, depth: int = 1, most: int = 30) -> DataFrame:
+    """(section, entity_id, type, value, title, kind, dataset, n): what is known about one entity (``start``: entity_id).
+
+    Sections: ``alias``, the other ends of its identity edges; ``mention``, per dataset the number of mentions and the least name
+    (as title); ``neighbour``, of the entities within ``depth`` edges, each by its first edge, the ``most`` of the greatest weight.
+    """
+    one = start.select(F.col("entity_id").alias("src"))
+    who = entities.select("entity_id", "type", "value", F.coalesce(F.nullif("title", F.lit("")), "value").alias("title"))
+    empty = lambda kind="string": F.lit(None).cast(kind)
+    near = both_ways(edges.where("kind = 'identity'")).join(F.broadcast(one), "src", "left_semi")
+    alias = near.select(F.col("dst").alias("entity_id"), "kind", "dataset", F.col("weight").alias("n")).join(who, "entity_id")
+    said = mentions.join(F.broadcast(one.withColumnRenamed("src", "entity_id")), "entity_id", "left_semi").groupBy("entity_id", "dataset").agg(F.count("*").alias("n"), F.min("name").alias("title"))
+    top = reach(edges, start, depth).orderBy(F.desc_nulls_last("weight"), "node").limit(most)
+    around = top.select(F.col("node").alias("entity_id"), "kind", "dataset", F.col("weight").alias("n")).join(who, "entity_id", "left")
+    columns = ["section", "entity_id", "type", "value", "title", "kind", "dataset", "n"]
+    parts = [alias.withColumn("section", F.lit("alias")), said.withColumns({"section": F.lit("mention"), "type": empty(), "value": empty(), "kind": empty()}), around.withColumn("section", F.lit("neighbour"))]
+    return parts[0].select(columns).unionByName(parts[1].select(columns)).unionByName(parts[2].select(columns))
+
+
+def co_org_counters(edges: DataFrame, entities: DataFrame, max_group: int = 40) -> DataFrame:
+    """One row: companies, people (in companies of two or more, before the guard), skipped (companies beyond it), pairs."""
+    people = entities.where("type = 'name'").select(F.col("entity_id").alias("person"))
+    groups = memberships(edges, entities).join(people, "person", "left_semi").groupBy("company").agg(F.count("*").alias("n"))
+    kept = F.col("n").between(2, max_group)
+    return groups.agg(F.count("*").alias("companies"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("people"), F.count_if(F.col("n") > max_group).alias("skipped"), F.coalesce(F.sum(F.when(kept, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0)).cast("long").alias("pairs"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators.graph import memberships
+from millrace.session import stored
 
 # The least score of a link, the least lead over the runner-up, the largest group that is paired.
 MIN_SCORE, MIN_LEAD, MAX_GROUP = 0.95, 0.2, 40
@@ -50,12 +51,13 @@ def link_context(entities: DataFrame, edges: DataFrame, mentions: DataFrame, min
     kept = members.join(small, "company", "left_semi").join(seen, "person", "left").withColumn("surname", F.get("tokens", F.lit(0)))
     a = kept.select("company", "surname", *[F.col(c).alias(f"{c}_a") for c in ("person", "tokens", "full", "lo", "hi")])
     b = kept.select("company", "surname", *[F.col(c).alias(f"{c}_b") for c in ("person", "tokens", "full", "lo", "hi")])
-    scored = a.join(b, ["company", "surname"]).where("person_a != person_b").withColumn("score", T.name_score(F.col("tokens_a"), F.col("tokens_b"))).where("score is not null")
-    top = scored.groupBy("company", F.col("person_a").alias("person")).agg(F.sort_array(F.collect_list("score"), asc=False).alias("all"))
-    top = top.select("company", "person", F.get("all", F.lit(1)).alias("second"))
+    scored = stored(a.join(b, ["company", "surname"]).where("person_a != person_b").withColumn("score", T.name_score(F.col("tokens_a"), F.col("tokens_b"))).where("score is not null").drop("tokens_a", "tokens_b"))
+    # the two best scores of a member, by the two best partners
+    best = Window.partitionBy("company", "person_a").orderBy(F.desc("score"), "person_b")
+    top = scored.select("company", F.col("person_a").alias("person"), "score", F.row_number().over(best).alias("k")).where("k = 2").select("company", "person", F.col("score").alias("second"))
     pairs = scored.where((F.col("person_a") < F.col("person_b")) & (F.col("score") >= min_score) & (F.col("full_a") | F.col("full_b")))
     pairs = pairs.where(F.col("lo_a").isNotNull() & F.col("lo_b").isNotNull() & ~((F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo_a") == F.col("lo_b"))))
     for side in ("a", "b"):
-        pairs = pairs.join(top.select("company", F.col("person").alias(f"person_{side}"), F.col("second").alias(f"second_{side}")), ["company", f"person_{side}"])
+        pairs = pairs.join(top.select("company", F.col("person").alias(f"person_{side}"), F.col("second").alias(f"second_{side}")), ["company", f"person_{side}"], "left")
     clear = pairs.where((F.coalesce("second_a", F.lit(-1.0)) < F.col("score")) & (F.coalesce("second_b", F.lit(-1.0)) < F.col("score")))
     return clear.groupBy(F.col("person_a").alias("a"), F.col("person_b").alias("b")).agg(F.max("score").alias("score"), F.count("*").alias("companies"))

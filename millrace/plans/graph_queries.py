@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import graph, registers, resolve
+from millrace.operators import graph, registers
 from millrace.session import table
 
 _ROLES = "'founder','signer','beneficial_owner','linked','works_at'"
@@ -18,11 +18,10 @@ def co_org(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def co_org_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers who share suppliers through large returned lines."""
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity >= 50 and l_returnflag = 'R'").select("l_orderkey", "l_suppkey")
+    """Customers who order a part of one supplier on the same line of their orders."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    members = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_suppkey", "o_custkey")
-    return graph.co_members(members, "l_suppkey", "o_custkey")
+    members = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return graph.co_members(members.select(F.struct("l_partkey", "l_suppkey", "l_linenumber").alias("line"), "o_custkey"), "line", "o_custkey")
 
 
 def co_litigant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,14 +30,6 @@ def co_litigant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.co_mentions(orders, "l_orderkey", "parties")
 
 
-def co_mentioned_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known company codes named together in one document, counted over documents."""
-    known = table(spark, sf_dir, "entities").where("type = 'edrpou'").select(F.col("value").alias("code"))
-    codes = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.company_codes(F.col("text"))).alias("code"))
-    rows = codes.join(known, "code", "left_semi").groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
-    return graph.co_mentions(rows, "doc_id", "codes")
-
-
 def judges_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.sits_in(table(spark, sf_dir, "edrsr_records"))
 
@@ -62,22 +53,10 @@ def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.stats(table(spark, sf_dir, "entities"), table(spark, sf_dir, "mentions"), table(spark, sf_dir, "edges"))
 
 
-def link_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names linked to tax-number holders that fit clearly best."""
-    found = resolve.link_names(table(spark, sf_dir, "entities"), table(spark, sf_dir, "edges"))
-    return found.select("name_id", "ipn_id", F.round("score", 6).alias("score"))
-
-
-def link_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names that agree within a shared company, across registers."""
-    found = resolve.link_context(table(spark, sf_dir, "entities"), table(spark, sf_dir, "edges"), table(spark, sf_dir, "mentions"), min_score=0.9, max_group=200)
-    return found.select("a", "b", F.round("score", 6).alias("score"), "companies")
-
-
 def bfs_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything within two edges of the first end beyond 50, by its first level."""
+    """Everything within two edges of the end that the most edges have, by its first level."""
     edges = table(spark, sf_dir, "edges").where("a != b")
-    start = edges.where("a > 50").agg(F.min("a").alias("entity_id"))
+    start = edges.groupBy("a").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "a").limit(1).select(F.col("a").alias("entity_id"))
     return graph.reach(edges, start, 2).select("node", "level")
 
 
@@ -112,29 +91,13 @@ def register_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.edges.groupBy("b_value", "kind", "dataset").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (co_org, co_org_star, co_litigant, co_mentioned_codes, judges_in, entity_upsert, edge_weights, mention_counts, graph_stats, link_names, link_context, bfs_depth2, search_card, search_name, prefix_match_vat, code_mode_split, register_events)}
+QUERIES = {f.__name__: f for f in (co_org, co_org_star, co_litigant, judges_in, entity_upsert, edge_weights, mention_counts, graph_stats, bfs_depth2, search_card, search_name, prefix_match_vat, code_mode_split, register_events)}
 
 _MEMBERS = f"""
 c AS (SELECT entity_id FROM entities WHERE type = 'edrpou'),
 m AS (
   SELECT DISTINCT CASE WHEN e.a IN (SELECT entity_id FROM c) THEN e.a ELSE e.b END AS company, CASE WHEN e.a IN (SELECT entity_id FROM c) THEN e.b ELSE e.a END AS person
   FROM edges e WHERE e.kind IN ({_ROLES}) AND e.a <> e.b AND (e.a IN (SELECT entity_id FROM c) OR e.b IN (SELECT entity_id FROM c)))"""
-_KEYWORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in T.ORG_KEYWORDS)
-_TOKENS = "regexp_extract_all(upper(translate(shown, '''ʼ’`', '')), '[A-ZА-ЯЄІЇҐ]+')"
-_NAMED = f"""
-n AS (SELECT entity_id, type, shown, {_TOKENS} AS t FROM (SELECT entity_id, type, coalesce(nullif(title, ''), value) AS shown FROM entities)),
-p AS (SELECT *, len(t) BETWEEN 2 AND 4 AND NOT list_has_any(t, [{_KEYWORDS}]) AND NOT regexp_matches(shown, '[0-9]') AS cand,
-  len(t) <> 3 OR regexp_matches(t[3], '(ОВИЧ|ЄВИЧ|ІВНА|ЇВНА|ІВИЧ|ОВНА|ИЧ|ВИЧ|ВНА)$') AS pat FROM n)"""
-
-
-def _agree(a: str, b: str) -> str:
-    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN length({a}) = 1 AND length({b}) > 1 AND {a} = substr({b}, 1, 1) THEN 0.9::DOUBLE WHEN length({b}) = 1 AND length({a}) > 1 AND {b} = substr({a}, 1, 1) THEN 0.9::DOUBLE END"
-
-
-def _score(x: str, y: str) -> str:
-    base = f"(0.5::DOUBLE + 0.35::DOUBLE * ({_agree(f'{x}[2]', f'{y}[2]')}))"
-    return f"least(CASE WHEN len({x}) > 2 AND len({y}) > 2 THEN {base} + 0.15::DOUBLE * ({_agree(f'{x}[3]', f'{y}[3]')}) WHEN len({x}) > 2 OR len({y}) > 2 THEN {base} + 0.05::DOUBLE ELSE {base} END, 1.0::DOUBLE) + CASE WHEN {base} IS NULL THEN NULL ELSE 0 END"
-
 
 SQL = {
     "co_org": f"""
@@ -143,16 +106,12 @@ q AS (SELECT m.* FROM m WHERE person IN (SELECT entity_id FROM entities WHERE ty
 s AS (SELECT company FROM q GROUP BY company HAVING count(*) BETWEEN 2 AND 40)
 SELECT x.person AS a, y.person AS b, count(*) AS weight FROM q x JOIN q y ON x.company = y.company AND x.person < y.person WHERE x.company IN (SELECT company FROM s) GROUP BY 1, 2""",
     "co_org_star": """
-WITH m AS (SELECT DISTINCT l_suppkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 50 AND l_returnflag = 'R'),
-s AS (SELECT l_suppkey FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 40)
-SELECT x.o_custkey AS a, y.o_custkey AS b, count(*) AS weight FROM m x JOIN m y ON x.l_suppkey = y.l_suppkey AND x.o_custkey < y.o_custkey WHERE x.l_suppkey IN (SELECT l_suppkey FROM s) GROUP BY 1, 2""",
+WITH m AS (SELECT DISTINCT l_partkey || '-' || l_suppkey || '-' || l_linenumber AS line, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+s AS (SELECT line FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 40)
+SELECT x.o_custkey AS a, y.o_custkey AS b, count(*) AS weight FROM m x JOIN m y ON x.line = y.line AND x.o_custkey < y.o_custkey WHERE x.line IN (SELECT line FROM s) GROUP BY 1, 2""",
     "co_litigant": """
 WITH m AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
 SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS weight FROM m x JOIN m y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey GROUP BY 1, 2""",
-    "co_mentioned_codes": """
-WITH c AS (SELECT DISTINCT doc_id, code FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS code FROM documents) WHERE length(code) = 8 AND code IN (SELECT value FROM entities WHERE type = 'edrpou')
-  AND NOT (coalesce(try_cast(substr(code, 1, 2) AS INT), 0) BETWEEN 1 AND 31 AND coalesce(try_cast(substr(code, 3, 2) AS INT), 0) BETWEEN 1 AND 12 AND coalesce(try_cast(substr(code, 5, 4) AS INT), 0) BETWEEN 1900 AND 2035))
-SELECT x.code AS a, y.code AS b, count(*) AS weight FROM c x JOIN c y ON x.doc_id = y.doc_id AND x.code < y.code GROUP BY 1, 2""",
     "judges_in": r"""
 WITH r AS (SELECT upper(trim(regexp_replace(translate(judge, 'ʼ’', ''''''), '\s+', ' ', 'g'))) AS judge, upper(trim(regexp_replace(translate(court, 'ʼ’', ''''''), '\s+', ' ', 'g'))) AS court FROM edrsr_records)
 SELECT judge, court, count(*) AS weight FROM r WHERE judge <> '' AND court <> '' GROUP BY 1, 2""",
@@ -162,28 +121,9 @@ SELECT 'name' AS type, upper(trim(regexp_replace(title, '\s+', ' ', 'g'))) AS va
     "edge_weights": "SELECT least(a, b) AS a, greatest(a, b) AS b, kind, dataset, sum(coalesce(weight, 1))::BIGINT AS weight FROM edges WHERE a <> b GROUP BY 1, 2, 3, 4",
     "mention_counts": "SELECT dataset, count(*) AS n, min(name) AS first_name FROM mentions GROUP BY dataset",
     "graph_stats": "SELECT 'entities' AS what, count(*) AS n FROM entities UNION ALL SELECT 'mentions', count(*) FROM mentions UNION ALL SELECT 'edges', count(*) FROM edges",
-    "link_names": f"""
-WITH {_NAMED},
-d AS (SELECT a AS id FROM edges WHERE kind = 'identity' AND dataset = 'name_resolve' UNION SELECT b FROM edges WHERE kind = 'identity' AND dataset = 'name_resolve'),
-s AS (SELECT x.entity_id AS name_id, y.entity_id AS ipn_id, {_score('x.t', 'y.t')} AS score FROM p x JOIN p y ON x.t[1] = y.t[1]
-  WHERE x.type = 'name' AND y.type = 'ipn' AND x.cand AND x.pat AND y.cand AND y.pat AND x.entity_id NOT IN (SELECT id FROM d)),
-k AS (SELECT *, row_number() OVER w AS k, lead(score, 1, 0.0::DOUBLE) OVER w AS second FROM s WHERE score IS NOT NULL WINDOW w AS (PARTITION BY name_id ORDER BY score DESC, ipn_id))
-SELECT name_id, ipn_id, round(score, 6) AS score FROM k WHERE k = 1 AND score >= 0.95 AND score - second >= 0.2""",
-    "link_context": f"""
-WITH {_NAMED}, {_MEMBERS},
-g AS (SELECT m.company, p.entity_id AS person, p.t, p.cand AND p.pat AS full_name FROM m JOIN p ON m.person = p.entity_id WHERE p.type = 'name' AND p.cand
-  AND (p.pat OR upper(translate(p.shown, '''ʼ’`', '')) NOT IN ('НЕВИЗНАЧЕНА ФІЗИЧНА ОСОБА', 'НЕВИЗНАЧЕНА ОСОБА', 'ФІЗИЧНІ ОСОБИ', 'ФІЗИЧНА ОСОБА', 'ІНШІ ФІЗИЧНІ ОСОБИ'))),
-h AS (SELECT * FROM g WHERE company IN (SELECT company FROM g GROUP BY company HAVING count(*) BETWEEN 2 AND 200)),
-v AS (SELECT entity_id, list_sort(list(DISTINCT dataset)) AS sets FROM mentions GROUP BY 1),
-s AS (SELECT x.company, x.person AS a, y.person AS b, x.full_name OR y.full_name AS anchored, {_score('x.t', 'y.t')} AS score FROM h x JOIN h y ON x.company = y.company AND x.t[1] = y.t[1] AND x.person <> y.person),
-z AS (SELECT * FROM s WHERE score IS NOT NULL)
-SELECT a, b, round(max(score), 6) AS score, count(*) AS companies FROM z JOIN v va ON va.entity_id = a JOIN v vb ON vb.entity_id = b
-WHERE a < b AND score >= 0.9 AND anchored AND NOT (va.sets = vb.sets AND len(va.sets) = 1)
-  AND NOT EXISTS (SELECT 1 FROM z r WHERE r.company = z.company AND r.score >= z.score AND ((r.a = z.a AND r.b <> z.b) OR (r.a = z.b AND r.b <> z.a)))
-GROUP BY a, b""",
     "bfs_depth2": """
 WITH e AS (SELECT a AS s, b AS d FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
-f AS (SELECT min(a) AS id FROM edges WHERE a <> b AND a > 50),
+f AS (SELECT a AS id FROM edges WHERE a <> b GROUP BY a ORDER BY count(*) DESC, a LIMIT 1),
 l1 AS (SELECT DISTINCT d AS node FROM e WHERE s IN (SELECT id FROM f)),
 l2 AS (SELECT DISTINCT e.d AS node FROM e JOIN l1 ON e.s = l1.node WHERE e.d NOT IN (SELECT id FROM f) AND e.d NOT IN (SELECT node FROM l1))
 SELECT node, 1 AS level FROM l1 UNION ALL SELECT node, 2 FROM l2""",

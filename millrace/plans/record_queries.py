@@ -26,12 +26,6 @@ def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("normal").agg(F.count("*").alias("n"), F.sum("n_digits").alias("digits"))
 
 
-def extract_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company codes in documents, known companies only."""
-    known = table(spark, sf_dir, "entities").where("type = 'edrpou'").select(F.col("value").alias("code"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(T.company_codes(F.col("text"))).alias("code")).join(known, "code", "left_semi").select("doc_id", "code")
-
-
 def person_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities of type name by whether they look like a person's full name or a candidate."""
     rows = table(spark, sf_dir, "entities").where("type = 'name'")
@@ -101,11 +95,6 @@ def _page_texts(rows: DataFrame) -> DataFrame:
 
 
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text of pages made from the documents whose characters its SQL reads alike; ``html_to_text_all`` reads all."""
-    return _page_texts(table(spark, sf_dir, "documents").where(~F.col("text").rlike("[^\\x00-\\x7f\\u0400-\\u04ff«»№’]")))
-
-
-def html_to_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of pages made from documents."""
     return _page_texts(table(spark, sf_dir, "documents"))
 
@@ -143,8 +132,8 @@ def catalog_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.page(rows, 20, 10)
 
 
-def throttle_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failures a user had before, and what is left of each user's last three failures."""
+def last_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each user's last three failures."""
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     return catalog.last_kept(rows.where("event_type = 'error' or event_type = 'click'"), ["user_id"], "event_id", 3).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
@@ -164,19 +153,11 @@ def signal_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.freshness(rows, F.to_timestamp(F.lit(NOW))).select("signal", "age_hours", "effective")
 
 
-def _overall(rows: DataFrame) -> DataFrame:
-    state = F.element_at(F.array(*[F.lit(s) for s in control.PRECEDENCE]), (F.col("event_id") % 4 + 1).cast("int"))
-    return control.overall(rows.select("event_type", F.when(F.col("user_id") % 50 > 3, "green").otherwise(state).alias("effective")), by=["event_type"])
-
-
 def overall_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overall state of each event type over the four fifths of events that its SQL reads; ``overall_state_all`` reads all."""
-    return _overall(table(spark, sf_dir, "events").where("event_id % 5 > 0"))
-
-
-def overall_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overall state of each event type over all events."""
-    return _overall(table(spark, sf_dir, "events"))
+    """Overall state of each user's events."""
+    state = F.element_at(F.array(*[F.lit(s) for s in control.PRECEDENCE]), (F.col("event_id") % 4 + 1).cast("int"))
+    rows = table(spark, sf_dir, "events").select("user_id", F.when(F.col("user_id") % 5 > 1, F.when(F.col("event_id") % 4 < 2, "unknown").otherwise("green")).otherwise(state).alias("effective"))
+    return control.overall(rows, by=["user_id"])
 
 
 def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +216,7 @@ def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.numbered(keys, "l_orderkey").groupBy(F.floor(F.col("n") / 10_000).alias("part")).agg(F.count("*").alias("n_rows"), F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, extract_codes, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, html_to_text_all, hosts, pending_docs, resource_diff, title_rank, catalog_page, throttle_block, drift_profile, signal_freshness, overall_state, overall_state_all, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
+QUERIES = {f.__name__: f for f in (dictionary_enrich, normalize_names, person_shapes, roles, decision_records, validate_ratio, duplicate_records, quarantined, corpus_lines, corpus_sizes, record_lines, chunk_packing, html_to_text, hosts, pending_docs, resource_diff, title_rank, catalog_page, last_failures, drift_profile, signal_freshness, overall_state, stage_sequence, replay_plan, model_gate, rollback_target, promotions, secret_scan, file_changes, part_files)}
 
 _KEYWORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in T.ORG_KEYWORDS)
 _SENTINELS = ", ".join(f"'{w}'" for w in T.SENTINEL_NAMES)
@@ -250,9 +231,6 @@ SQL = {
     "normalize_names": r"""
 WITH r AS (SELECT upper(trim(regexp_replace(regexp_replace(replace(translate(name, 'ʼ’', ''''''), 'ß', 'ss'), '[\s\x{00a0}\x{0085}]+', ' ', 'g'), '^ | $', '', 'g'))) AS normal, length(regexp_replace(name, '[^0-9]', '', 'g')) AS d FROM mentions WHERE name IS NOT NULL)
 SELECT normal, count(*) AS n, sum(d)::BIGINT AS digits FROM r GROUP BY 1""",
-    "extract_codes": """
-SELECT DISTINCT doc_id, code FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS code FROM documents) WHERE length(code) = 8 AND code IN (SELECT value FROM entities WHERE type = 'edrpou')
-  AND NOT (coalesce(try_cast(substr(code, 1, 2) AS INT), 0) BETWEEN 1 AND 31 AND coalesce(try_cast(substr(code, 3, 2) AS INT), 0) BETWEEN 1 AND 12 AND coalesce(try_cast(substr(code, 5, 4) AS INT), 0) BETWEEN 1900 AND 2035)""",
     "person_shapes": f"""
 WITH r AS (SELECT upper(translate(value, '''ʼ’`', '')) AS v, regexp_extract_all(upper(translate(value, '''ʼ’`', '')), '[A-ZА-ЯЄІЇҐ]+') AS t FROM entities WHERE type = 'name'),
 s AS (SELECT v, t, len(t) BETWEEN 2 AND 4 AND NOT list_has_any(t, [{_KEYWORDS}]) AND NOT regexp_matches(v, '[0-9]') AS ok FROM r)
@@ -279,8 +257,8 @@ UNION ALL SELECT concat_ws(' ', 'ТОВ ' || s_name, 'ЄДРПОУ ' || s_suppke
 SELECT line, count(*) AS n FROM d GROUP BY 1""",
     "html_to_text": r"""
 WITH p AS (SELECT doc_id, '<html><style>p {color: red}</style><body><p class=''a''>' || replace(text, chr(10), '</p><p>') || '</p><script>if (1 > 0) {}</script>&copy; &amp;' || source || '</body></html>' AS page
-  FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\x00-\x7f\x{400}-\x{4ff}«»№’]')),
-t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(page, '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM p)
+  FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(page, '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '[\s\v\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS text FROM p)
 SELECT doc_id, md5(trim(replace(replace(replace(replace(replace(text, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&'))) AS text_md5 FROM t""",
     "hosts": "SELECT coalesce(lower(regexp_extract(source_url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '') AS host, count(*) AS n FROM provenance GROUP BY 1",
     "pending_docs": """
@@ -297,7 +275,7 @@ s AS (SELECT query, p_partkey AS id, 10 * len(list_intersect(list_distinct(regex
 k AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS k FROM s)
 SELECT query, id, score FROM k WHERE k = 1""".replace("\\\\", "\\"),
     "catalog_page": "SELECT c_custkey AS id, c_name AS name FROM customer ORDER BY lower(c_name), c_custkey LIMIT 10 OFFSET 20",
-    "throttle_block": "WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events WHERE event_type IN ('error', 'click')) SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM k WHERE k <= 3 GROUP BY 1",
+    "last_failures": "WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events WHERE event_type IN ('error', 'click')) SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM k WHERE k <= 3 GROUP BY 1",
     "drift_profile": """
 WITH b AS (SELECT l_returnflag AS name, count(*) AS n, count(DISTINCT l_linestatus) AS d FROM lineitem WHERE l_orderkey % 5 < 2 GROUP BY 1), c AS (SELECT l_returnflag AS name, count(*) AS n, count(DISTINCT l_linestatus) AS d FROM lineitem WHERE l_orderkey % 5 >= 2 GROUP BY 1)
 SELECT name, concat_ws('; ', CASE WHEN abs(c.n - b.n) / b.n::DOUBLE > 0.2 THEN 'row_count threshold exceeded' END, CASE WHEN b.d <> c.d THEN 'field_distributions changed' END) AS issues,
@@ -307,8 +285,8 @@ WITH s AS (SELECT (['ingestion', 'quality', 'graph', 'training', 'publication',
 a AS (SELECT signal, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(made)) / 1000000.0 AS sec, CASE WHEN signal IN ('graph', 'training') THEN 168 ELSE 48 END AS lim FROM s)
 SELECT signal, round(sec / 3600, 2) AS age_hours, CASE WHEN sec < 0 OR sec > lim * 3600 THEN 'unknown' ELSE 'green' END AS effective FROM a""",
     "overall_state": """
-WITH s AS (SELECT event_type, CASE WHEN user_id % 50 > 3 THEN 1 ELSE event_id % 4 END AS p FROM events WHERE event_id % 5 > 0)
-SELECT event_type, (['unknown', 'green', 'yellow', 'red'])[max(p) + 1] AS overall FROM s GROUP BY 1""",
+WITH s AS (SELECT user_id, CASE WHEN user_id % 5 > 1 THEN CASE WHEN event_id % 4 < 2 THEN 0 ELSE 1 END ELSE event_id % 4 END AS p FROM events)
+SELECT user_id, (['unknown', 'green', 'yellow', 'red'])[max(p) + 1] AS overall FROM s GROUP BY 1""",
     "stage_sequence": f"WITH {_STEPS} SELECT run, sequence, stage, state FROM sg",
     "replay_plan": f"""
 WITH {_STEPS}

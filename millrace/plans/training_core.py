@@ -24,8 +24,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per field and normalised month, with those that hold no usable value as ``unusable``."""
     records, provenance = table(spark, sf_dir, "edrsr_records"), table(spark, sf_dir, "provenance")
-    parts = [(records, "decision_date", "date"), (records, "publication_date", "date"), (provenance, "retrieved_at", "instant")]
-    done = [timestamps.normalize(df.select(c), c, "norm", form).select(F.lit(c).alias("field"), F.coalesce(F.substring("norm", 1, 7), F.lit("unusable")).alias("month")) for df, c, form in parts]
+    parts = [(records, "decision_date", "date", "source_dataset"), (records, "publication_date", "date", "source_dataset"), (provenance, "retrieved_at", "instant", "source")]
+    done = [timestamps.normalize(df.select(c, source), c, "norm", form, source=source, zones=timestamps.SOURCE_ZONES).select(F.lit(c).alias("field"), F.coalesce(F.substring("norm", 1, 7), F.lit("unusable")).alias("month")) for df, c, form, source in parts]
     return reduce(DataFrame.unionByName, done).groupBy("field", "month").agg(F.count("*").alias("n_rows"))
 
 
@@ -90,11 +90,17 @@ found AS (
   WHERE r.key IS NOT NULL AND r.key <> '' AND (t.key IS NULL OR t.since > r.day))
 """
 
-_INSTANTS = r"""
+_UNUSUAL = r"""
 WITH v AS (
   SELECT 'decision_date' AS field, cast(rec_id AS VARCHAR) AS row_key, decision_date AS val FROM edrsr_records WHERE NOT regexp_matches(decision_date, '^\d{4}-\d{2}-\d{2}$')
   UNION ALL SELECT 'publication_date', cast(rec_id AS VARCHAR), publication_date FROM edrsr_records WHERE NOT regexp_matches(publication_date, '^\d{4}-\d{2}-\d{2}$')
-  UNION ALL SELECT DISTINCT 'retrieved_at', record_id, retrieved_at FROM provenance WHERE NOT regexp_matches(retrieved_at, '^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$')),
+  UNION ALL SELECT DISTINCT 'retrieved_at', record_id, retrieved_at FROM provenance WHERE NOT regexp_matches(retrieved_at, '^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$')),"""
+_EVERY = """
+WITH v AS (
+  SELECT 'decision_date' AS field, cast(rec_id AS VARCHAR) AS row_key, decision_date AS val FROM edrsr_records
+  UNION ALL SELECT 'publication_date', cast(rec_id AS VARCHAR), publication_date FROM edrsr_records
+  UNION ALL SELECT 'retrieved_at', record_id, retrieved_at FROM provenance),"""
+_READ = r"""
 z AS (SELECT *, regexp_extract(val, '(?:(?::\d{2}(?:\.\d+)?|T\d{6})\s?)(Z|UTC|GMT|EET|EEST|[+-]\d{2}:?\d{2}|Europe/Kiev|Europe/Kyiv)$', 1) AS mark FROM v),
 b AS (SELECT *, rtrim(val[:length(val) - length(mark)]) AS body FROM z),
 h AS (SELECT *, regexp_extract(body, ' (AM|PM)$', 1) AS half, regexp_replace(regexp_replace(body, ' (AM|PM)$', ''), '^(\d{8})T?(\d{2})(\d{2})(\d{2})$', '\1 \2:\3:\4') AS plain FROM b),
@@ -116,12 +122,12 @@ k AS (SELECT *, CASE WHEN mark IN ('Z', 'UTC', 'GMT') THEN 0 WHEN mark = 'EET' T
 u AS (SELECT *, timezone('Europe/Kyiv', local) AS there FROM k),
 i AS (SELECT field, row_key, CASE WHEN regexp_matches(val, '^\d{10}$') THEN make_timestamp(cast(val AS BIGINT) * 1000000) WHEN regexp_matches(val, '^\d{13}$') THEN make_timestamp(cast(val AS BIGINT) * 1000)
   WHEN off IS NOT NULL THEN local - to_minutes(off)
-  WHEN timezone('Europe/Kyiv', there - INTERVAL 1 HOUR) = local THEN timezone('UTC', there - INTERVAL 1 HOUR) ELSE timezone('UTC', there) END AS inst FROM u)
-SELECT field, row_key, CASE WHEN field = 'retrieved_at' THEN strftime(inst, '%Y-%m-%dT%H:%M:%S.%fZ') ELSE strftime(timezone('Europe/Kyiv', timezone('UTC', inst)), '%Y-%m-%d') END AS norm_value FROM i WHERE inst IS NOT NULL
-"""
+  WHEN timezone('Europe/Kyiv', there - INTERVAL 1 HOUR) = local THEN timezone('UTC', there - INTERVAL 1 HOUR) ELSE timezone('UTC', there) END AS inst FROM u)"""
+_NORM = "CASE WHEN field = 'retrieved_at' THEN strftime(inst, '%Y-%m-%dT%H:%M:%S.%fZ') ELSE strftime(timezone('Europe/Kyiv', timezone('UTC', inst)), '%Y-%m-%d') END"
 
 SQL = {
-    "p1_found": _INSTANTS,
+    "p1_found": f"{_UNUSUAL}{_READ} SELECT field, row_key, {_NORM} AS norm_value FROM i WHERE inst IS NOT NULL",
+    "p1_months": f"{_EVERY}{_READ} SELECT field, coalesce(substr({_NORM}, 1, 7), 'unusable') AS month, count(*) AS n_rows FROM i GROUP BY 1, 2",
     "p3_found": """
 SELECT field, key_id FROM (
   SELECT 'mentions.entity_id' AS field, entity_id AS key_id, count(*) AS n, (SELECT count(*) FROM mentions) AS total FROM mentions GROUP BY entity_id

@@ -3,9 +3,11 @@
     spark.dataSource.register(Archives)
     spark.read.format("archives").option("path", "/data/*.zip").option("kind", "csv").load()
 
-Options: ``path`` (glob, or several parted by commas), ``kind`` (csv, xml, xlsx), ``delimiter`` (;), ``encoding`` (cp1251),
-``tag`` (the end of a record element's name, RECORD), ``sheet`` (a sheet's name, else the first). Of csv archives the largest
-member counts, of xml archives the first; ``members=all`` reads every fitting member. Undecodable bytes are replaced.
+Options: ``path`` (glob, or several parted by commas), ``kind`` (csv, xml, xlsx, subject), ``delimiter`` (;), ``encoding`` (cp1251),
+``tag`` (the end of a record element's name, RECORD), ``sheet`` (a sheet's name, else the first), ``verify`` (true: the checksums
+of all members are tested first). Of csv archives the largest member counts, of xml archives the first; ``members=all`` reads
+every fitting member. Undecodable bytes are replaced. ``subject`` reads xml members as company subjects with lists of founders
+and signers. The paths must be mounted on all machines; ``files.archives`` reads other file systems through Spark.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from xml.etree import ElementTree
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "archive string, member string, at long, row map<string,string>"
+SUBJECT_SCHEMA = "archive string, member string, at long, edrpou string, name string, stan string, opf string, statute string, founders array<string>, signers array<string>"
 
 
 @dataclass
@@ -60,7 +63,7 @@ def subject_rows(stream: io.BufferedIOBase, tag: str = "SUBJECT") -> Iterator[di
                     texts.setdefault(_name(x), []).append(text)
             one = {k: texts.get(k, [""])[0] for k in ("EDRPOU", "NAME", "STAN", "OPF", "STATUTE")}
             yield {**one, "founders": texts.get("FOUNDER", []), "signers": texts.get("SIGNER", [])}
-            element.clear()
+            element.clear()  # what it held; the emptied element itself is small
 
 
 def _name(element: ElementTree.Element) -> str:
@@ -104,9 +107,19 @@ def xlsx_rows(book: zipfile.ZipFile, sheet: str | None = None) -> Iterator[dict[
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.kind = options.get("kind", "csv").lower()
-        self.paths = sorted({p for part in options["path"].split(",") for p in glob.glob(part.strip())})
+        self.paths = sorted({p for part in options.get("path", "").split(",") for p in glob.glob(part.strip())})
         self.delimiter, self.encoding = options.get("delimiter", ";"), options.get("encoding", "cp1251")
-        self.tag, self.sheet, self.all = options.get("tag", "RECORD").upper(), options.get("sheet"), options.get("members") == "all"
+        self.tag, self.sheet, self.all = options.get("tag", "SUBJECT" if self.kind == "subject" else "RECORD").upper(), options.get("sheet"), options.get("members") == "all"
+        self.verify = options.get("verify", "false").lower() == "true"
+
+    def members(self, archive: zipfile.ZipFile) -> list[str]:
+        if self.verify and (broken := archive.testzip()):
+            raise zipfile.BadZipFile(f"checksum of {broken} is wrong")
+        suffix = "xml" if self.kind == "subject" else self.kind
+        fit = [m for m in archive.infolist() if m.filename.lower().endswith("." + suffix) and safe_member(m.filename)]
+        if fit and not self.all:
+            fit = [max(fit, key=lambda m: m.file_size)] if self.kind == "csv" else fit[:1]
+        return [m.filename for m in fit]
 
     def partitions(self) -> list[Member]:
         if self.kind == "xlsx":
@@ -114,27 +127,34 @@ class ArchiveReader(DataSourceReader):
         out = []
         for path in self.paths:
             with zipfile.ZipFile(path) as archive:
-                fit = [m for m in archive.infolist() if m.filename.lower().endswith("." + self.kind) and safe_member(m.filename)]
-            if fit and not self.all:
-                fit = [max(fit, key=lambda m: m.file_size)] if self.kind == "csv" else fit[:1]
-            out += [Member(path, m.filename) for m in fit]
+                out += [Member(path, m) for m in self.members(archive)]
         return out
 
+    def rows(self, archive: zipfile.ZipFile, path: str, member: str) -> Iterator[tuple]:
+        if self.kind == "xlsx":
+            yield from ((path, self.sheet or "", k, row) for k, row in enumerate(xlsx_rows(archive, self.sheet)))
+            return
+        with archive.open(member) as stream:
+            if self.kind == "subject":
+                fields = ("EDRPOU", "NAME", "STAN", "OPF", "STATUTE", "founders", "signers")
+                yield from ((path, member, k, *(row[f] for f in fields)) for k, row in enumerate(subject_rows(stream, self.tag)))
+                return
+            if self.kind == "xml":
+                rows = xml_rows(stream, self.tag)
+            else:
+                text = io.TextIOWrapper(stream, encoding=self.encoding, errors="replace", newline="")
+                rows = ({k: (v or "") for k, v in row.items() if k} for row in csv.DictReader(text, delimiter=self.delimiter))
+            yield from ((path, member, k, row) for k, row in enumerate(rows))
+
     def read(self, part: Member | None) -> Iterator[tuple]:
         if part is None:
             return
         with zipfile.ZipFile(part.path) as archive:
-            if self.kind == "xlsx":
-                rows = xlsx_rows(archive, self.sheet)
-                yield from ((part.path, self.sheet or "", k, row) for k, row in enumerate(rows))
-                return
-            with archive.open(part.member) as stream:
-                if self.kind == "xml":
-                    rows = xml_rows(stream, self.tag)
-                else:
-                    text = io.TextIOWrapper(stream, encoding=self.encoding, errors="replace", newline="")
-                    rows = ({k: (v or "") for k, v in row.items() if k} for row in csv.DictReader(text, delimiter=self.delimiter))
-                yield from ((part.path, part.member, k, row) for k, row in enumerate(rows))
+            yield from self.rows(archive, part.path, part.member)
+
+
+def schema_of(kind: str) -> str:
+    return SUBJECT_SCHEMA if kind.lower() == "subject" else SCHEMA
 
 
 class Archives(DataSource):
@@ -143,7 +163,7 @@ class Archives(DataSource):
         return "archives"
 
     def schema(self) -> str:
-        return SCHEMA
+        return schema_of(self.options.get("kind", "csv"))
 
     def reader(self, schema) -> ArchiveReader:  # noqa: ANN001
         return ArchiveReader(dict(self.options))

@@ -19,7 +19,7 @@ from pyspark.sql import types as st
 
 from millrace.functions import text as T
 from millrace.session import ship
-from millrace.sources.archives import Archives
+from millrace.sources.archives import ArchiveReader, Archives, schema_of
 
 STRING_MAP = st.MapType(st.StringType(), st.StringType())
 # File-name parts of code dictionaries, which are no records.
@@ -49,10 +49,76 @@ def xml_records(spark: SparkSession, path: str, tag: str, schema: str | st.Struc
 
 
 def archives(spark: SparkSession, path: str, kind: str = "csv", **options: str) -> DataFrame:
-    """(archive, member, at, row map) of files inside archives, or of spreadsheets; see sources.archives."""
+    """(archive, member, at, row map) of files inside archives, or of spreadsheets; kind ``subject``: companies, see sources.archives.
+
+    Paths with a scheme other than file: are read through Spark's own file systems, an archive (2 GB at most) a task.
+    """
     ship(spark)
-    spark.dataSource.register(Archives)
-    return spark.read.format("archives").options(path=path, kind=kind, **options).load()
+    if not re.match(r"(?!file:)\w[\w+.-]+://", path):
+        spark.dataSource.register(Archives)
+        return spark.read.format("archives").options(path=path.removeprefix("file://"), kind=kind, **options).load()
+    return archives_in(spark.read.format("binaryFile").load(path), kind, **options)
+
+
+def archives_in(files: DataFrame, kind: str = "csv", **options: str) -> DataFrame:
+    """As ``archives``, of rows (path, content)."""
+    reader = ArchiveReader({"kind": kind, **options})
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [part.split()[0] for part in schema_of(kind).split(", ")]
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    rows = (row for member in ([""] if reader.kind == "xlsx" else reader.members(archive)) for row in reader.rows(archive, path, member))
+                    while some := [row for _, row in zip(range(10_000), rows, strict=False)]:
+                        yield pd.DataFrame(some, columns=names)
+
+    return files.select("path", "content").mapInPandas(parse, schema_of(kind))
+
+
+def jsonl_to_parquet(spark: SparkSession, source: str, target: str, mode: str = "errorifexists") -> int:
+    """JSON lines as zstd Parquet; the number of rows. Broken lines are an error, as a silent gap would be."""
+    rows = spark.read.option("mode", "FAILFAST").json(source)
+    rows.write.mode(mode).option("compression", "zstd").parquet(target)
+    return spark.read.schema(rows.schema).parquet(target).count()
+
+
+def provenance(sources: DataFrame, inventory: DataFrame) -> DataFrame:
+    """(path, source_url, bytes, sha256, issue) of the inputs a graph is built from, sorted by path.
+
+    ``sources`` has url and target, ``inventory`` path, sha256 and bytes. A path named twice and one that is missing have an issue.
+    """
+    named = sources.groupBy(F.col("target").alias("path")).agg(F.min("url").alias("source_url"), F.count("*").alias("n"))
+    found = named.join(inventory.select("path", "bytes", "sha256"), "path", "left")
+    issue = F.when(F.col("n") > 1, "duplicate provenance input path").when(F.col("sha256").isNull(), "provenance input is missing")
+    return found.select("path", "source_url", "bytes", "sha256", issue.alias("issue")).orderBy("path")
+
+
+def packages(spark: SparkSession) -> DataFrame:
+    """(name, version) of the Python packages of this machine, by lower-case name: the parts list of a release."""
+    from importlib.metadata import distributions
+
+    rows = sorted({(d.metadata["Name"], d.version) for d in distributions() if d.metadata["Name"]}, key=lambda r: r[0].lower())
+    return spark.createDataFrame(rows, "name string, version string")
+
+
+def signals(spark: SparkSession, path: str) -> DataFrame:
+    """(file, valid, schema_version, signal, source_commit, state, detail, generated_at) of status documents, one a file.
+
+    The commit may stand under source_commit or git_commit; a document that is no JSON object has ``valid`` false.
+    """
+    fields = "schema_version long, signal string, source_commit string, git_commit string, state string, detail string, generated_at_utc string"
+    rows = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.trim("value").alias("value"))
+    rows = rows.withColumn("s", F.from_json("value", fields)).withColumn("valid", F.startswith("value", F.lit("{")) & F.try_parse_json("value").isNotNull())
+    return rows.select("file", "valid", "s.schema_version", "s.signal", F.coalesce("s.source_commit", "s.git_commit").alias("source_commit"), "s.state", F.substring(F.coalesce("s.detail", F.lit("")), 1, 500).alias("detail"), F.col("s.generated_at_utc").alias("generated_at"))
+
+
+def checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """(file, valid, workflow, source_commit, checkpoint, checkpoint_id, state, updated_at) of recovery documents, one a file."""
+    fields = "workflow string, source_commit string, checkpoint string, checkpoint_id string, state string, updated_at string"
+    rows = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.trim("value").alias("value"))
+    rows = rows.withColumn("valid", F.startswith("value", F.lit("{")) & F.try_parse_json("value").isNotNull())
+    return rows.select("file", "valid", F.from_json("value", fields).alias("c")).select("file", "valid", "c.*")
 
 
 def available(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -217,7 +283,15 @@ def document_text(name: str, data: bytes) -> str | None:
         if suffix == "docx":
             root = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(data)).read("word/document.xml"))
             word = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-            return "\n".join("".join(t.text or "" for t in p.iter(f"{word}t")) for p in root.iter(f"{word}p")).strip()
+            paragraph = lambda p: "".join(t.text or "" for t in p.iter(f"{word}t"))
+            cell = lambda c: "\n".join(paragraph(p) for p in c.iter(f"{word}p"))
+            out = []
+            for block in root.find(f"{word}body") if root.find(f"{word}body") is not None else root.iter(f"{word}p"):
+                if block.tag == f"{word}tbl":
+                    out += [" | ".join(cell(c).strip() for c in row.iter(f"{word}tc")) for row in block.iter(f"{word}tr")]
+                elif block.tag == f"{word}p":
+                    out.append(paragraph(block))
+            return "\n".join(out).strip()
         return None if suffix == "doc" else ""
     except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError):
         return None

@@ -40,9 +40,12 @@ def write_lines(lines: DataFrame, path: str, column: str = "line", mode: str = "
     lines.select(column).write.mode(mode).text(path)
 
 
-def write_document(rows: DataFrame, path: str) -> None:
-    """One small JSON document (a manifest or a status) from at most a few rows, written whole or not at all."""
-    data = [json.loads(r) for r in rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).limit(10_000).toPandas()["j"]]
+def write_document(rows: DataFrame, path: str, most: int = 10_000) -> None:
+    """One small JSON document (a manifest or a status), written whole or not at all: more than ``most`` rows are an error."""
+    lines = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).limit(most + 1).toPandas()["j"]
+    if len(lines) > most:
+        raise ValueError(f"more than {most} rows for one document")
+    data = [json.loads(r) for r in lines]
     part = f"{path}.part"
     with open(part, "w", encoding="utf-8") as out:
         json.dump(data[0] if len(data) == 1 else data, out, ensure_ascii=False, sort_keys=True, indent=1)

@@ -3,9 +3,9 @@
 import pytest
 from tests.compare import same
 
-from millrace.plans import graph_queries, record_queries, training_core
+from millrace.plans import build_queries, graph_queries, record_queries, training_core
 
-MODULES = (graph_queries, record_queries, training_core)
+MODULES = (graph_queries, build_queries, record_queries, training_core)
 CHECKED = [(m, n) for m in MODULES for n in m.SQL]
 OTHERS = [(m, n) for m in MODULES for n in m.QUERIES if n not in m.SQL]
 

@@ -114,7 +114,7 @@ def test_streams(spark, tmp_path):
     schema = spark.createDataFrame([], kind).schema
     put([("1", "x.rtf", 1, 2, "k", "d"), ("1", "y.rtf", 2, 1, "k", "d"), ("2", "x.pdf", 1, 1, "k", "d")])
     for _ in range(2):
-        incremental.pending_documents(incremental.new_files(spark, str(tmp_path / "in"), schema), "document_id", "source_url", [r"\.rtf"], str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
+        incremental.pending_documents(incremental.new_files(spark, str(tmp_path / "in"), schema), "document_id", "source_url", [".rtf"], str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
         put([("1", "z.rtf", 1, 3, "k", "d"), ("3", "z.rtf", 1, 3, "k", "d")])
     assert sorted(r.document_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "3"]
     query = incremental.edge_counts(incremental.new_files(spark, str(tmp_path / "in"), schema)).writeStream.format("memory").queryName("edges_now").outputMode("complete").trigger(availableNow=True).start()
