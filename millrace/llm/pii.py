@@ -26,7 +26,7 @@ _LAT = r"[A-Z][a-z]+(?:['’-][A-Za-z]+)?|[A-Z][A-Z'’-]+"
 _WORD = rf"(?:{_CAP}|{_ALL}|{_LAT})"
 _GAP = "[  ]+"
 EMAIL = re.compile(r"[A-Za-z0-9][\w.+-]*(?:@|\s?[\[({](?:at|AT|At|собака|СОБАКА|ат|АТ)[\])}]\s?)[A-Za-z0-9][A-Za-z0-9-]*(?:(?:\.|\s?[\[({](?:dot|DOT)[\])}]\s?)[A-Za-z0-9-]*[A-Za-z0-9])+", re.ASCII)
-PHONE = re.compile(r"(?<![\d№/.,-])(?<!№ )(?:\+?38[ .-]?\(?0\d{2}\)?|\+?380[ .-]?\(?\d{2}\)?|(?:8[ .-])?\(?0\d{2}\)?)[ .-]?\d{3}[ .-]?\d{2}[ .-]?\d{2}(?![\d/])(?!-\d)")
+PHONE = re.compile(r"(?=[+038(])(?<![\d№/.,-])(?<!№ )(?:\+?38[ .-]?\(?0\d{2}\)?|\+?380[ .-]?\(?\d{2}\)?|(?:8[ .-])?\(?0\d{2}\)?)[ .-]?\d{3}[ .-]?\d{2}[ .-]?\d{2}(?![\d/])(?!-\d)")
 IDNUM = [
     re.compile(r"(?i:(?:ідентифікаційн|податков)\w+ (?:номер|код)\w*|РНОКПП|ІПН|код\w* платника(?: податк\w+)?)[:\s№]*(\d{10}|\d{3} \d{3} \d{4})(?!\d| \d)"),
     re.compile(rf"(?i:паспорт\w*)(?: (?i:громадян\w+ України))?(?:,? (?i:серії|серія))?[:\s]*([{_UP}]{{2}} ?№? ?\d{{6}})(?!\d)"),
@@ -64,20 +64,30 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     Kinds are the sure types, "" for what is none (streets without a number, quotations), and FULL, INITIALS, PAIR and ONE for
     names that the given names of the corpus, or other names of the text, decide on.
     """
-    found = []
-    if "@" in text or "(" in text or "[" in text or "{" in text:
+    low, found = text.lower(), []
+    if "@" in text or _AT.search(low):
         found += [("EMAIL", *m.span()) for m in EMAIL.finditer(text)]
-    found += [("ADDRESS", *m.span()) for m in ADDRESS.finditer(text)]
-    found += [("", *m.span()) for m in STREET.finditer(text)]
-    found += [("IDNUM", *m.span(1)) for pattern in IDNUM for m in pattern.finditer(text)]
-    found += [("PHONE", *m.span()) for m in PHONE.finditer(text)]
+    if streets := [("", *m.span()) for m in STREET.finditer(text)]:  # an address holds a street
+        found += [("ADDRESS", *m.span()) for m in ADDRESS.finditer(text)] + streets
+    if _NUMERALS.search(text):
+        for pattern, words in zip(IDNUM, _ID_WORDS, strict=True):
+            if any(w in low for w in words):
+                found += [("IDNUM", *m.span(1)) for m in pattern.finditer(text)]
+        found += [("PHONE", *m.span()) for m in PHONE.finditer(text)]
     found += [("", *m.span()) for m in _QUOTED.finditer(text)]
     found += [("FULL", *m.span()) for m in FULL.finditer(text)]
-    found += [("INITIALS", *m.span()) for m in INITIALS.finditer(text)]
+    initials = _DOTTED.search(text)
+    if initials:
+        found += [("INITIALS", *m.span()) for m in INITIALS.finditer(text)]
     found += [("PAIR", m.start(1), m.end(2)) for m in PAIR.finditer(text)]
-    return found + [("ONE", *m.span()) for m in ONE.finditer(text)]
+    return found + [("ONE", *m.span()) for m in ONE.finditer(text)] if initials else found
 
 
+# what a pattern can't match without, looked for first
+_AT = re.compile(r"[\[({](?:at|собака|ат)[\])}]")
+_NUMERALS = re.compile(r"\d{2}|\d \d|\d[-.)]")
+_ID_WORDS = (("ідентифікаційн", "податков", "рнокпп", "іпн", "платника"), ("паспорт",), ("паспорт", "id-картк"), ("-",))
+_DOTTED = re.compile(rf"(?<![{_UP}{_LOW}A-Za-z'’ʼ])[{_UP}A-Z]\.")
 _QUOTED = re.compile(r"«[^»\n]*»|\"[^\"\n]*\"")
 _SPLIT = re.compile(rf"({_WORD}){_GAP}({_WORD})")
 _CASE = re.compile(r"(?:ого|ому|ою|ею|ові|еві|ем|ом|им|ими|ій|ий|а|у|ю|і|ї|и|я|о|й|ь|е)?$")
