@@ -39,8 +39,8 @@ CHAINS = {
 _UPPER, _LOWER = "А-ЩЬЮЯЄІЇҐ", "а-щьюяєіїґ"
 CLEAN = rf"^«?[{_UPPER}]?[{_LOWER}'’ʼ-]+»?$|^«?[{_UPPER}'’ʼ-]+»?$"
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Rows up to which a side of a join is broadcast; beyond, it is joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a stored side of a join is broadcast; beyond, it is joined by a shuffle.
+BROADCAST_BYTES = 32_000_000
 _BLANKS = str.maketrans("\n\r\t", "   ", _PUNCTUATION)
 _DROP = {ord(c): None for c in _PUNCTUATION + "\n\r\t"}
 #: Letters that prove a garbled word at least.
@@ -183,18 +183,18 @@ def lost(text: Column) -> Column:
     return text.contains("�") | text.rlike(r"\?{4,}|(?:^|[\s«(\"])\?+[»)\",;:]*\s+(?:№?\s*[\d/.,]+\s+)?[«(\"]?\?+(?:[\s».,;:)\"-]|$)")
 
 
-def _bounded(side: DataFrame, broadcast_rows: int) -> DataFrame:
-    """A stored side of a join, with its rows counted as ``n``, broadcast if it is small."""
-    return F.broadcast(side) if side.seen["n"] <= broadcast_rows else side
+def _bounded(side: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """A stored side of a join, its bytes added up in ``bytes``, broadcast if it is small."""
+    return F.broadcast(side) if (side.seen["bytes"] or 0) <= broadcast_bytes else side
 
 
-def restored(values: DataFrame, least_letters: int = LEAST_LETTERS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def restored(values: DataFrame, least_letters: int = LEAST_LETTERS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(field, row_id, restored) of every garbled value; ``values``: field, row_id, text.
 
     ``restored`` is the whole original value, or null where substitutes replaced letters, which are lost. Clean, empty and
     null values give no row; repeated rows repeat their result. (field, row_id) should name one row. All statistics cover
     all values; the garbled forms are joined by a shuffle, as neither side has a bound; matches go back to their rows by
-    broadcast up to ``broadcast_rows``, by a shuffle beyond. A row whose verified words have fewer than ``least_letters`` letters
+    broadcast up to ``broadcast_bytes``, by a shuffle beyond. A row whose verified words have fewer than ``least_letters`` letters
     together under a chain stays as it is.
     """
     ship(values.sparkSession)
@@ -206,14 +206,14 @@ def restored(values: DataFrame, least_letters: int = LEAST_LETTERS, broadcast_ro
     matched = _forms(clean).select(F.xxhash64("token").alias("h"), "chain", "letters", "word_n").join(counted.select(F.xxhash64("token").alias("h"), "n"), "h").where(F.col("word_n") > F.col("n"))
     # of several readings of a token under one chain the most frequent word proves it
     evidence = matched.groupBy("h", "chain").agg(F.max(F.struct("word_n", "letters")).alias("best")).select("h", "chain", F.col("best.letters").alias("letters"), F.col("best.word_n").alias("weight"))
-    evidence = _bounded(stored(evidence, n=F.count("*")), broadcast_rows)
+    evidence = _bounded(stored(evidence, bytes=F.count("*") * 40), broadcast_bytes)
     model = _bigrams(clean.where("n > 1").withColumn("h", F.xxhash64("token")).join(evidence.select("h"), "h", "left_anti"))
     # a few letters that would do for an abbreviation are evidence, but not replaced without a look at what stands beside them
     sure = ~F.col("token").rlike(CLEAN) | (F.length("token") >= LEAST_LETTERS)
     rows = exploded.withColumn("h", F.xxhash64("token")).join(evidence, "h").groupBy("field", "row_id", "chain").agg(F.sum("letters").alias("letters"), F.sum("weight").alias("weight"), F.collect_set(F.when(sure, F.col("token"))).alias("tokens"))
     rows = rows.where(F.col("letters") >= least_letters).groupBy("field", "row_id").agg(F.sort_array(F.collect_list(F.struct("letters", "weight", "chain", "tokens")), asc=False).alias("found"))
     rows = rows.select("field", "row_id", F.col("found.chain").alias("chains"), F.col("found.tokens").alias("tokens"))
-    pending = values.join(_bounded(stored(rows, n=F.count("*")), broadcast_rows), ["field", "row_id"]).select("field", "row_id", "text", "chains", "tokens")
+    pending = values.join(_bounded(stored(rows, bytes=F.sum(F.aggregate("tokens", F.lit(100).cast("long"), lambda n, part: n + 40 + F.aggregate(part, F.lit(0).cast("long"), lambda m, t: m + 40 + F.octet_length(t))))), broadcast_bytes), ["field", "row_id"]).select("field", "row_id", "text", "chains", "tokens")
     names = list(CHAINS)
 
     def undo(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
