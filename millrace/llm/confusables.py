@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut, ship
+from millrace.operators.skew import join_split
+from millrace.session import ship, stored
 
 # Letters that look alike, as Latin, Cyrillic, Greek ("." where an alphabet has none).
 ALIKE = """
@@ -212,14 +213,24 @@ def canonical(docs: DataFrame, key: str = "doc_id", text: str = "text", model: t
     return docs.select(key, text).mapInArrow(read, out)
 
 
+def same_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, representative, size, texts) of every document with a text: the least key of those that look like it, how many they
+    are, and how many different texts they hold as stored. One row a document however large the groups; null texts have none."""
+    marks = stored(canonical(docs, key, text, digests=True).where("form is not null"))
+    by_text = marks.groupBy("form", "raw").agg(F.min(key).alias("least"), F.count("*").alias("n"))
+    groups = by_text.groupBy("form").agg(F.min("least").alias("representative"), F.sum("n").alias("size"), F.count("*").alias("texts"))
+    return marks.join(groups, "form").select(key, "representative", "size", "texts")
+
+
 def same_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key_a, key_b), key_a < key_b: documents stored differently that look the same; null texts pair with nothing.
 
-    Only documents whose form has at least two stored texts reach the pair join, and exact copies never meet in it.
+    Only documents whose form has at least two stored texts reach the pair join, exact copies never meet in it, and the
+    rows of a form that many documents have are dealt out to many tasks.
     """
-    marks = cut(canonical(docs, key, text, digests=True).where("form is not null"))
-    shared = marks.groupBy("form", "raw").agg(F.min(key).alias(key)).groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
+    marks = stored(canonical(docs, key, text, digests=True).where("form is not null"))
+    shared = marks.groupBy("form").agg((F.min("raw") != F.max("raw")).alias("several")).where("several").select("form")
     rows = marks.join(shared, "form", "left_semi")
     a = rows.select("form", F.col("raw").alias("raw_a"), F.col(key).alias(f"{key}_a"))
     b = rows.select("form", F.col("raw").alias("raw_b"), F.col(key).alias(f"{key}_b"))
-    return a.join(b, "form").where((F.col("raw_a") != F.col("raw_b")) & (F.col(f"{key}_a") < F.col(f"{key}_b"))).select(f"{key}_a", f"{key}_b")
+    return join_split(a, b, "form", f"{key}_a").where((F.col("raw_a") != F.col("raw_b")) & (F.col(f"{key}_a") < F.col(f"{key}_b"))).select(f"{key}_a", f"{key}_b")

@@ -91,27 +91,40 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.same_text(table(spark, sf_dir, "documents"))
 
 
+def p10_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the representative, the size and the number of texts of those that look like it."""
+    return confusables.same_groups(table(spark, sf_dir, "documents"))
+
+
 def p10_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text in its one form."""
     return confusables.canonical(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p8_packed, p8_fill, p9_found, p9_spans, p10_found, p10_normalized)}
-
-
+QUERIES = {f.__name__: f for f in (p2_found, p2_placeholders, p2_surrogates, p4_found, p4_restored, p5_found, p7_found, p7_groups, p8_packed, p8_fill, p9_found, p9_spans, p10_found, p10_groups, p10_normalized)}
 
-def _fold_sql(column: str) -> str:
-    """The look-alike folding as SQL: one translation, characters without counterpart deleted."""
-    pairs = [(chr(k), v) for k, v in confusables._FOLD.items() if k < 0x10000 and (v is None or len(v) == 1)]
-    pairs.sort(key=lambda x: x[1] is None)
-    quote = lambda x: x.replace("'", "''")
-    return f"translate({column}, '{quote(''.join(k for k, _ in pairs))}', '{quote(''.join(v for _, v in pairs if v))}')"
 
+# The look-alike classes as plain SQL, written down apart from the operator's tables so that each checks the other.
+# Letters of Cyrillic and Greek, and the Latin ones they look like.
+_LIKE = ("асеіјорѕхуһԛԁԝАВСЕНІЈКМОРЅТХҮԚԜοΑΒΕΗΙΚΜΝΟΡΤΥΧΖїёЇЁѐЀ", "aceijopsxyhqdwABCEHIJKMOPSTXYQWoABEHIKMNOPTYXZïëÏËèÈ")
+# Invisible characters and blanks, as classes of a pattern; variants of apostrophe and hyphen.
+_INVISIBLE = r"[\x{ad}\x{34f}\x{61c}\x{180b}-\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{2064}\x{fe00}-\x{fe0f}\x{feff}]"
+_BLANK = r"[\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+_WIDE = "array_to_string(list_transform(range(65281, 65375), lambda c: chr(c::INT)), '')"
+_PLAIN = "array_to_string(list_transform(range(33, 127), lambda c: chr(c::INT)), '')"
+_BARE = f"translate(text, {_WIDE}, {_PLAIN})"
+for _class, _sign in ((_INVISIBLE, "''"), (_BLANK, "' '"), ("[‘’‛ʼʹʻʽˈ՚′´`＇ꞌ]", "chr(39)"), ("[‐‑‒−﹣－˗]", "'-'")):
+    _BARE = f"regexp_replace({_BARE}, '{_class}', {_sign}, 'g')"
+_FORM = f"nfc_normalize(translate(nfc_normalize(translate({_BARE}, '{_LIKE[0]}', '{_LIKE[1]}')), '{_LIKE[0]}', '{_LIKE[1]}'))"
 
 SQL = {
     "p10_found": f"""
-WITH f AS (SELECT doc_id, text, {_fold_sql(f"nfc_normalize({_fold_sql('text')})")} AS form FROM documents WHERE text IS NOT NULL)
+WITH f AS (SELECT doc_id, text, {_FORM} AS form FROM documents WHERE text IS NOT NULL)
 SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.form = b.form AND a.text <> b.text AND a.doc_id < b.doc_id""",
+    "p10_groups": f"""
+WITH f AS (SELECT doc_id, text, {_FORM} AS form FROM documents WHERE text IS NOT NULL),
+g AS (SELECT form, min(doc_id) AS representative, count(*) AS size, count(DISTINCT text) AS texts FROM f GROUP BY 1)
+SELECT doc_id, representative, size, texts FROM f JOIN g USING (form)""",
     "p5_found": """
 WITH RECURSIVE e AS (
   SELECT a AS u, b AS v FROM edges WHERE lower(trim(kind)) = 'identity' AND a <> b

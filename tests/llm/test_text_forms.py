@@ -39,6 +39,17 @@ def test_same_look_same_form(text, pick):
     assert reader.read(other) == one and reader.read(one) == one
 
 
+def test_same_text_groups(spark):
+    rows = [(1, "суд і рада"), (2, "cуд і рада"), (3, "суд і рада"), (4, "інше"), (5, "інше"), (6, None), (7, ""), (8, "Суд і рада")] + [(100 + k, "суд" + "\u200b" * (k % 3) + " копія") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in confusables.same_groups(docs).collect()}
+    assert got[1] == got[2] == got[3] == (1, 3, 2) and got[4] == got[5] == (4, 2, 1) and got[8] == (8, 1, 1) and got[7] == (7, 1, 1) and 6 not in got
+    assert all(got[100 + k] == (100, 90, 3) for k in range(90))
+    pairs = {tuple(r) for r in confusables.same_text(docs).collect()}
+    text = dict(rows)
+    assert pairs == {(a, b) for a in got for b in got if a < b and got[a][0] == got[b][0] and text[a] != text[b]}
+
+
 def test_same_text(spark):
     docs = spark.createDataFrame([(1, "Суд і час", 0), (2, "Cуд і час", 0), (3, "Суд і час", 0), (4, "Суд і час.", 0), (5, None, 0), (6, "", 0), (7, "​", 0), (8, "x" * 200_000, 0)], "doc_id long, text string, form int")
     got = sorted((r.doc_id_a, r.doc_id_b) for r in confusables.same_text(docs).collect())
@@ -80,7 +91,9 @@ def test_restored(spark):
         if kind:
             wanted[k] = f"{text} {sent} {text}" if k % 12 else sent
     rows += [("t", 900, "??????? ????? № 5"), ("t", 901, "анкета: ??? не надано"), ("t", 902, "��� суд"), ("t", 903, None), ("t", 904, ""), ("t", 905, "Знак «Ørnäs Øl» та Café Ü суд")]
-    got = {r.row_id: r.restored for r in garbled.restored(spark.createDataFrame(rows, "field string, row_id long, text string")).collect()}
+    values = spark.createDataFrame(rows, "field string, row_id long, text string")
+    got = {r.row_id: r.restored for r in garbled.restored(values).collect()}
+    assert got == {r.row_id: r.restored for r in garbled.restored(values, broadcast_bytes=0).collect()}  # the same by shuffles
     assert {k: v for k, v in got.items() if k >= 900} == {900: None, 902: None}
     found = {k for k in wanted if k in got}
     assert len(found) >= 0.95 * len(wanted) and {k for k in got if k < 900} <= set(wanted)
