@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,24 +125,91 @@ def sampled_mean(metrics: DataFrame, value: str, by: Sequence[str], draws: int =
     return rows.groupBy(*by).agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
 
 
+def _outcome(sizes: list[int], room: int) -> tuple[list[int], list[int]]:
+    """For every size 0..room that a chunk has when a run of lines begins: its size at the end, and the chunks ended meanwhile."""
+    cum = np.cumsum(np.array(sizes, np.int64))
+    before = np.concatenate(([0], cum))
+    ends = np.searchsorted(cum, before[:-1] + room, side="right")  # the line that ends a chunk begun with line k
+    n = len(sizes)
+    size, ended = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    for k in range(n - 1, -1, -1):
+        size[k], ended[k] = (size[ends[k] + 1], ended[ends[k] + 1] + 1) if ends[k] < n else (cum[-1] - before[k], 0)
+    held = np.arange(room + 1)
+    first = np.searchsorted(cum, room - held, side="right")
+    open_ = first >= n
+    after = np.where(open_, 0, np.minimum(first + 1, n))
+    return np.where(open_, held + cum[-1], size[after]).tolist(), np.where(open_, 0, ended[after] + 1).tolist()
+
+
 def chunks(lines: DataFrame, group: str, order: str, line: str = "line", room: int = 1200) -> DataFrame:
     """(group, chunk, text): a group's lines joined in order, a chunk ends with the line that takes it over ``room``.
 
-    The unfinished tail of a group is dropped, as the operator defines; a group is the unit one task folds.
+    The unfinished tail of a group is dropped, as the operator defines; null lines do not count, lines of equal order come in
+    their own. A group is folded by as many tasks as it has ranges of rows: each range is first summed up as what it makes of
+    any size a chunk may have where it begins (0 to ``room``), these sums are composed along the group, and then every range is
+    folded from the size it really begins with. Only chunks that lie across ranges are put together afterwards.
     """
-
-    def fold(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out, held, size = [], [], 0
-        for text in rows.sort_values(order)[line]:
-            held.append(text)
-            size += len(text) + 1
-            if size > room:
-                out.append((keys[0], len(out), "\n".join(held)))
-                held, size = [], 0
-        return pd.DataFrame(out, columns=[group, "chunk", "text"])
-
     kind = lines.schema[group].dataType.simpleString()
-    return lines.where(F.col(line).isNotNull()).select(group, order, line).groupBy(group).applyInPandas(fold, f"`{group}` {kind}, chunk int, text string")
+    rows = lines.where(F.col(line).isNotNull()).select(F.col(group).alias("g"), F.col(order).alias("o"), F.col(line).alias("line"))
+    rows = cut(rows.repartitionByRange("g", "o").sortWithinPartitions("g", "o", "line").select("g", "line", F.spark_partition_id().alias("part")))
+
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[object, int, pd.Series]]:
+        for batch in batches:
+            keys = batch["g"].where(batch["g"].notna(), None)
+            starts = (keys.ne(keys.shift()) & ~(keys.isna() & keys.shift().isna())).cumsum()
+            for _, some in batch.groupby(starts, sort=False):
+                yield (None if pd.isna(some["g"].iloc[0]) else some["g"].iloc[0]), int(some["part"].iloc[0]), some["line"]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple[object, int, list[int]]] = []
+        for g, part, texts in runs(batches):
+            if not found or found[-1][0] != g:
+                if len(found) > 1:
+                    del found[1:]  # only a range's first and last group go on in others
+                found.append((g, part, []))
+            found[-1][2].extend((texts.str.len() + 1).tolist())
+        yield pd.DataFrame([(g, part, *_outcome(sizes, room)) for g, part, sizes in found], columns=["g", "part", "size", "ended"])
+
+    def along(keys: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        out, held, ended = [], 0, 0
+        for part, size, more in blocks.sort_values("part")[["part", "size", "ended"]].itertuples(index=False):
+            out.append((keys[0], part, held, ended))
+            held, ended = size[held], ended + more[held]
+        return pd.DataFrame(out, columns=["g", "part", "held", "ended"])
+
+    summed = rows.mapInPandas(sums, f"g {kind}, part int, size array<long>, ended array<long>")
+    begins = stored(summed.groupBy("g").applyInPandas(along, f"g {kind}, part int, held long, ended long").where("held > 0 or ended > 0"))
+    # at most one a range: the group it goes on with
+    joined = rows.join(F.broadcast(begins.select("part", F.col("g").alias("__g"), "held", "ended")), "part", "left")
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at: tuple | None = None
+        pieces, size, chunk, part, begun = [], 0, 0, 0, True
+        for batch in batches:
+            out = []
+            for g, p, texts in runs([batch]):
+                if at != (g,):
+                    if pieces:
+                        out.append((at[0], chunk, part, "\n".join(pieces), begun, False))
+                    first = batch.loc[texts.index[0]]
+                    goes_on = pd.notna(first["held"]) and (first["__g"] == g or (g is None and pd.isna(first["__g"])))
+                    at, pieces, part = (g,), [], p
+                    size, chunk = (int(first["held"]), int(first["ended"])) if goes_on else (0, 0)
+                    begun = size == 0
+                for text in texts:
+                    pieces.append(text)
+                    size += len(text) + 1
+                    if size > room:
+                        out.append((g, chunk, p, "\n".join(pieces), begun, True))
+                        pieces, size, chunk, begun = [], 0, chunk + 1, True
+            yield pd.DataFrame(out, columns=["g", "chunk", "part", "text", "begun", "ended"])
+        if pieces:
+            yield pd.DataFrame([(at[0], chunk, part, "\n".join(pieces), begun, False)], columns=["g", "chunk", "part", "text", "begun", "ended"])
+
+    made = stored(joined.mapInPandas(fold, f"g {kind}, chunk int, part int, text string, begun boolean, ended boolean"))
+    whole = made.where("begun and ended").select("g", "chunk", "text")
+    across = made.where("not (begun and ended)").groupBy("g", "chunk").agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("p"), F.bool_or("ended").alias("done")).where("done")
+    return whole.unionByName(across.select("g", "chunk", F.array_join("p.text", "\n").alias("text"))).withColumnRenamed("g", group)
 
 
 def encode(lines: DataFrame, tokenizer: str, column: str = "line", separator: int = 0) -> DataFrame:

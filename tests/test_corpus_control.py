@@ -104,3 +104,30 @@ def test_overall_of_all_events(spark, tmp_path):
     spark.createDataFrame([(15, 0), (1, 0), (4, 1), (10, 9)], "event_id long, user_id long").write.parquet(str(tmp_path / "events.parquet"))
     got = {r.user_id: r.overall for r in record_queries.overall_state(spark, str(tmp_path)).collect()}
     assert got == {0: "red", 1: "unknown", 9: "green"}
+
+
+def test_chunks_of_groups_over_many_ranges(spark):
+    import random
+
+    pick = random.Random(6)
+    rows = [("hot" if pick.random() < 0.6 else f"g{pick.randrange(5)}" if pick.random() < 0.95 else None, k, "x" * pick.randrange(0, 60)) for k in range(900)] + [("big", 1, "y" * 700), ("big", 2, None), ("big", 3, "z" * 200), ("big", 4, "w" * 400), ("tail", 1, "short")]
+    wanted = {}
+    for g in {r[0] for r in rows}:
+        held, size, n = [], 0, 0
+        for _, _, text in sorted((r for r in rows if r[0] == g and r[2] is not None), key=lambda r: r[1]):
+            held.append(text)
+            size += len(text) + 1
+            if size > 300:
+                wanted[g, n] = "\n".join(held)
+                held, size, n = [], 0, n + 1
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        made = corpus.chunks(spark.createDataFrame(rows, "source string, o int, line string").withColumn("text", F.lit(1)), "source", "o", room=300)
+        got = {(r.source, r.chunk): r.text for r in made.collect()}
+    finally:
+        for key, value in (("spark.sql.shuffle.partitions", "4"), ("spark.sql.adaptive.coalescePartitions.enabled", "true"), ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")):
+            spark.conf.set(key, value)
+    assert got == wanted and sum(g == "hot" for g, _ in got) > 30
+    assert corpus.chunks(spark.createDataFrame([], "source string, o int, line string"), "source", "o").count() == 0
