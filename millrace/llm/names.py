@@ -2,7 +2,7 @@
 
 A written name is parsed to parts in one alphabet: persons to surname, given name and patronymic, organisations to the words
 of the core name without the legal form. The surnames and core words form a dictionary, which meets itself in a
-pigeonhole join: a word is cut into EDITS + 1 segments, one of which survives EDITS typing errors; an inverted index of
+pigeonhole join: a word is cut into segments, of EDITS + 2 of which EDITS typing errors leave two whole; an inverted index of
 segments is probed with substrings at shifted positions, and banded edit distance verifies. Each word of a
 near pair takes the more frequent one as its anchor. Names meet where they share an anchor and a part that must agree, and
 a last check compares all their parts. So names move as 64-bit keys; names under one key differ in writing, which is why
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -446,24 +447,30 @@ def probe_keys(word: str) -> set[str]:
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(a, b) of all pairs of words of LEAST_WORD letters that one edit parts, once; ``words``: word, distinct.
+    """(a, b) of all pairs of words of LEAST_WORD letters that one edit parts, once; ``words``: word, distinct, joined.
 
-    The same keys as in ``index_keys`` and ``probe_keys``, as 64-bit hashes: the shorter of two words, or the smaller of equal
-    length, is in the index. Everything is an expression, levenshtein is banded.
+    Words that are ``joined`` from several (all of a firm's words without blanks) meet words that are not, and not each other: many
+    firms share their last words, and only against a firm written as one word do joined ones matter.
+
+    A word is cut into EDITS + 2 segments, of which an error leaves two whole, before it where they were and behind it moved by the
+    difference in length; so two segments together make a key, and words that only share a common half never meet. A swap across
+    a cut is looked up whole. The shorter of two words, or the smaller of equal length, is in the index. Keys are 64-bit
+    hashes, everything is an expression, and levenshtein, which decides, is banded.
     """
     word, size = F.col("word"), F.length("word")
-    key = lambda n, k, part: F.xxhash64(n, F.lit(k), part)
-    half = lambda n: F.floor(n / 2).cast("int")
+    key = lambda n, k, *parts: F.xxhash64(n, F.lit(k), *parts)
+    one, two = (lambda n: F.floor(n / 3).cast("int")), (lambda n: F.floor(2 * n / 3).cast("int"))
+    first = lambda n: F.substring(word, F.lit(1), n)
+    last = lambda n: F.substring(word, size - n + 1, n)
+    keys = lambda n: [key(n, 0, first(two(n))), key(n, 1, first(one(n)), last(n - two(n))), key(n, 2, last(n - one(n)))]
+    swapped = lambda at: F.concat(first(at - 1), F.substring(word, at + 1, F.lit(1)), F.substring(word, at, F.lit(1)), F.substring(word, at + 2, size))
     long = words.where(size >= LEAST_WORD)
-    index = long.select(F.col("word").alias("a"), F.explode(F.array(key(size, 0, F.substring(word, F.lit(1), half(size))), key(size, 1, F.substring(word, half(size) + 1, size)), key(size, 2, word))).alias("at"))
-    swapped = F.concat(F.substring(word, F.lit(1), half(size) - 1), F.substring(word, half(size) + 1, F.lit(1)), F.substring(word, half(size), F.lit(1)), F.substring(word, half(size) + 2, size))
-    looks = [key(size, 2, swapped)]
-    for n in (size - 1, size):
-        looks += [key(n, 0, F.substring(word, F.lit(1), half(n))), key(n, 1, F.substring(word, size - (n - half(n)) + 1, size))]
-    probes = long.select(F.col("word").alias("b"), F.explode(F.array(*looks)).alias("at"))
-    met = join_split(index, probes, "at", "a").where((F.length("a") < F.length("b")) | (F.col("a") < F.col("b")))
-    gap = F.levenshtein("a", "b", 2)
+    index = long.select("joined", F.col("word").alias("a"), F.explode(F.array(*keys(size), key(size, 3, word))).alias("at"))
+    probes = long.select("joined", F.col("word").alias("b"), F.explode(F.array(*keys(size), *keys(size - 1), key(size, 3, swapped(one(size))), key(size, 3, swapped(two(size))))).alias("at"))
+    sides = (index.where("not joined"), probes), (index.where("joined"), probes.where("not joined"))
+    met = reduce(DataFrame.unionByName, [join_split(x.drop("joined"), y.drop("joined"), "at", "a") for x, y in sides]).where((F.length("a") < F.length("b")) | (F.col("a") < F.col("b")))
     crossed = F.exists(F.sequence(F.lit(1), F.length("a") - 1), lambda i: F.concat(F.substring("a", F.lit(1), i - 1), F.substring("a", i + 1, F.lit(1)), F.substring("a", i, F.lit(1)), F.substring("a", i + 2, F.length("a"))) == F.col("b"))
+    gap = F.levenshtein("a", "b", 2)
     return met.where((gap == 1) | ((gap == 2) & (F.length("a") == F.length("b")) & crossed)).select("a", "b").distinct()
 
 
@@ -547,8 +554,8 @@ def link(names: DataFrame, key: str = "entity_id", name: str = "name", lexicon_s
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.list_(pa.string())), pa.array(columns[3], pa.list_(pa.string()))], ["h", "word", "own", "look"])
 
     entries = stored(distinct.select("h", "node").mapInArrow(blocks, "h long, word string, own array<string>, look array<string>"))
-    words = stored(entries.groupBy("word").agg(F.count("*").alias("n")))
-    ends = near_words(words.select("word"))
+    words = stored(entries.groupBy("word").agg(F.count("*").alias("n"), F.bool_and(F.col("own")[0] == "c").alias("joined")))
+    ends = near_words(words)
     rank = lambda side: F.struct(F.col(f"n_{side}"), F.col(side))
     ends = ends.join(words.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a").join(words.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b")
     anchors = stored(ends.select(F.when(rank("a") < rank("b"), F.col("a")).otherwise(F.col("b")).alias("word"), F.when(rank("a") < rank("b"), F.col("b")).otherwise(F.col("a")).alias("anchor")))

@@ -77,9 +77,10 @@ def test_link_rare_given_name(spark):
 
 def test_near_words_against_all_pairs(spark):
     pick = random.Random(4)
-    words = {"".join(pick.choice("абв") for _ in range(pick.randrange(3, 9))) for _ in range(400)}
-    got = {(r.a, r.b) for r in names.near_words(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
-    wanted = {tuple(sorted((a, b), key=lambda w: (len(w), w))) for a in words for b in words if a < b and min(len(a), len(b)) >= names.LEAST_WORD and names.near(a, b)}
+    words = {"".join(pick.choice("абв") for _ in range(pick.randrange(3, 10))) for _ in range(500)}
+    words |= {w[:k] + w[k + 1] + w[k] + w[k + 2 :] for w in list(words)[:80] for k in range(len(w) - 1)}
+    got = {(r.a, r.b) for r in names.near_words(spark.createDataFrame([(w, w[-1] == "а") for w in words], "word string, joined boolean")).collect()}
+    wanted = {tuple(sorted((a, b), key=lambda w: (len(w), w))) for a in words for b in words if a < b and min(len(a), len(b)) >= names.LEAST_WORD and names.near(a, b) and not a[-1] == b[-1] == "а"}
     assert got == wanted and len(wanted) > 100
 
 
