@@ -33,7 +33,6 @@ POOLS = {
 }
 # Letters of the syllables that surrogates are made of, and capital letters an initial may become.
 CONSONANTS, VOWELS, INITIALS = "бвгдклмнпрст", "аеиоу", "абвгдезіклмнопрстуфхя"
-_DIGITS = "0123456789"
 _WORD = re.compile(r"[^\W\d_]+(?:['’ʼ][^\W\d_]+)*")
 _NUMBER = re.compile(r"\d+")
 _ENDING = re.compile(r"(?:ого|ому|ої|ою|ею|єю|ові|еві|єві|ем|єм|ом|им|ими|ій|ий|а|у|ю|і|ї|и|я|о|й|ь|е|є|yi|yj|oi|ii|oho|omu|oiu|iu|ia|ie|a|u|i|y|o|e)?$")
@@ -50,10 +49,13 @@ class Keyed:
     def draw(self, *what: object) -> int:
         return int.from_bytes(hashlib.blake2b("\x00".join(map(str, what)).encode(), key=self.secret, digest_size=8).digest(), "big")
 
+    def turned(self, tweak: str, size: int, turn: int, half: int) -> int:
+        return int.from_bytes(hashlib.blake2b(b"%d|%d|%d|%s" % (size, turn, half, tweak.encode()), key=self.secret, digest_size=8).digest(), "big")
+
     def moved(self, number: int, size: int, tweak: str) -> int:
         """A one-to-one map of 0..size-1 without a number that stays, for sizes from 2 on: the next one in a keyed order.
 
-        The keyed order is a Feistel network over the least even number of bits that holds ``size``, walked until inside.
+        The keyed order is a Feistel network of four turns over the least even number of bits that holds ``size``, walked until inside.
         """
         half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
         mask = (1 << half) - 1
@@ -63,14 +65,14 @@ class Keyed:
                 left, right = x >> half, x & mask
                 for turn in turns:
                     if turns.step > 0:
-                        left, right = right, left ^ (self.draw(tweak, size, turn, right) & mask)
+                        left, right = right, left ^ (self.turned(tweak, size, turn, right) & mask)
                     else:
-                        left, right = right ^ (self.draw(tweak, size, turn, left) & mask), left
+                        left, right = right ^ (self.turned(tweak, size, turn, left) & mask), left
                 x = left << half | right
                 if x < size:
                     return x
 
-        return walk((walk(number, range(6)) + 1) % size, range(5, -1, -1))
+        return walk((walk(number, range(4)) + 1) % size, range(3, -1, -1))
 
     def digits(self, text: str, tweak: str, plain: bool = False) -> str:
         """Digits as other digits of the same number; ``plain`` ones do not begin with 0."""
