@@ -113,6 +113,14 @@ def test_link_empty_and_pairs(spark):
     assert sorted((r.entity_id_a, r.entity_id_b) for r in names.pairs(groups).collect()) == [(1, 2), (1, 3), (2, 3)]
 
 
+def test_pairs_of_links_do_not_link_twice(spark):
+    rows = [(1, "КУНХІК ІВАН СЕМЕНОВИЧ"), (2, "КУНХІК Іван Семенович"), (3, "ЗАВАЛЮК ПЕТРО ІВАНОВИЧ")]
+    found = names.pairs(names.link(spark.createDataFrame(rows, "entity_id long, name string")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 4  # of what groups come from, nothing is planned again
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
 TEXT = (
     "Заявник В'ячеслав Максимович Валгогуха\nпаспорт НЮ641068\nадреса: місто Яснозір, пл. Полудневого Вітру 126, оф. 50\nтел: 082 429 34 92\n"
     "Пригода сталася на перехресті біля вул. Марії Зоретко, свідків не виявлено. Свідками були Т. Й. Запвалярний та ХИРГЕР МИРОСЛАВА ПАВЛІВНА. "
