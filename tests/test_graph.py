@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,42 @@ def test_link_names(spark):
     assert resolve.link_names(people(spark, rows), done, min_lead=0.05).count() == 0
 
 
+def test_link_names_against_all_pairs(spark):
+    given, fathers = ("ІВАН", "І", "ІГОР", "ПЕТРО", "П"), ("ІВАНОВИЧ", "ІГОРОВИЧ", "ПЕТРОВИЧ", "")
+    shapes = [f"{s} {g} {f}".strip() for s in ("ТКАЧ", "МОРОЗ") for g in given for f in fathers] + ["ТКАЧ ІВАН І ПЕТРО", "ТКАЧ І І ПЕТРО", "ТКАЧ ПЕТРО І ІВАН"]
+    agree = lambda a, b: 1.0 if a == b else 0.9 if (len(a) == 1) != (len(b) == 1) and a[0] == b[0] else None
+
+    def score(x, y):
+        x, y = x.split(), y.split()
+        known = agree(x[1], y[1]) if x[0] == y[0] else None
+        father = agree(x[2], y[2]) if len(x) > 2 and len(y) > 2 else 1 / 3 if len(x) > 2 or len(y) > 2 else 0.0
+        return None if known is None or father is None else 0.5 + 0.35 * known + 0.15 * father
+
+    for step in (3, 5, 7, 11):
+        names = [(k, "name", shape, None) for k, shape in enumerate(shapes)]
+        holders = [(100 + k, "ipn", str(k), shape) for k, shape in enumerate(shapes[step % 3 :: step])] + [(200 - step, "ipn", "x", shapes[step])]
+        expected = set()
+        for k, _, x, _ in names:
+            fits = sorted((-v, i) for i, _, _, y in holders if (v := score(x, y)) is not None) + [(0.0, 0)]
+            if len(fits) > 1 and fits[1][0] - fits[0][0] >= 0.02:
+                expected.add((k, fits[0][1], round(-fits[0][0], 6)))
+        got = resolve.link_names(people(spark, names + holders), spark.createDataFrame([], EDGES), min_score=0.5, min_lead=0.02).collect()
+        assert expected and {(r.name_id, r.ipn_id, round(r.score, 6)) for r in got} == expected
+
+
+def test_link_names_of_one_surname(spark):
+    spelt = F.concat(F.lit("ТКАЧ Я"), F.translate(F.col("id").cast("string"), "0123456789", "АБВГДЕЖЗИК"), F.lit(" ІВАНОВИЧ"))
+    names = spark.range(200_000).select(F.col("id").alias("entity_id"), F.lit("name").alias("type"), spelt.alias("value"), F.lit(None).cast("string").alias("title"))
+    holders = spark.range(50_000).select((F.col("id") + 1_000_000).alias("entity_id"), F.lit("ipn").alias("type"), F.col("id").cast("string").alias("value"), spelt.alias("title"))
+    stop = threading.Timer(90, spark.sparkContext.cancelAllJobs)  # all pairs, ten billion, take much longer
+    stop.start()
+    try:
+        linked = resolve.link_names(names.unionByName(holders), spark.createDataFrame([], EDGES))
+        assert linked.agg(F.count("*"), F.sum((F.col("ipn_id") == F.col("name_id") + 1_000_000).cast("int"))).first()[:] == (50_000, 50_000)
+    finally:
+        stop.cancel()
+
+
 def test_search(spark, small_graph):
     entities, edges = small_graph
     ask = lambda **how: [r.entity_id for r in graph.resolve_entity(entities, **how).collect()]
